@@ -66,9 +66,10 @@ def _predicted_sql(feature: str) -> str:
       from test cross join {_line_sql(feature)})"""
 
 
-def _predictions(spark, sf, feature):
-    train, test = steps.train_test(spark, sf)
-    return apply_line(test, univariate_line(train, feature), feature)
+def _predictions(spark, sf, *features):
+    """Test trips predicted by one line per feature, fitted on the train trips."""
+    train, test = steps.stored_split(spark, sf)
+    return [apply_line(test, univariate_line(train, name), name) for name in features]
 
 
 @query(
@@ -84,11 +85,8 @@ def _predictions(spark, sf, feature):
 )
 def hourly_pred_vs_actual(spark, sf):
     # Two univariate lines stand in for the two models, so that SQL can follow.
-    table = stats.compare_hourly(
-        _predictions(spark, sf, "trip_distance"),
-        _predictions(spark, sf, "visibility"),
-        keys=("day",),
-    )
+    first, second = _predictions(spark, sf, "trip_distance", "visibility")
+    table = stats.compare_hourly(first, second, keys=("day",))
     return rounded(table, "avg_actual_speed", "avg_linear_speed", "avg_forest_speed")
 
 
@@ -99,7 +97,8 @@ def hourly_pred_vs_actual(spark, sf):
        from {_predicted_sql("trip_distance")} where day = '2024-01-22' group by hour""",
 )
 def hourly_speed(spark, sf):
-    table = stats.hourly_speed(_predictions(spark, sf, "trip_distance"), "2024-01-22")
+    (predictions,) = _predictions(spark, sf, "trip_distance")
+    table = stats.hourly_speed(predictions, "2024-01-22")
     return rounded(table, "avg_actual_speed", "avg_predicted_speed")
 
 
@@ -109,7 +108,7 @@ def hourly_speed(spark, sf):
          count(*) as predictions from {_predicted_sql("trip_distance")} group by Borough""",
 )
 def mae(spark, sf):
-    predictions = _predictions(spark, sf, "trip_distance")
+    (predictions,) = _predictions(spark, sf, "trip_distance")
     return rounded(stats.mean_absolute_error(predictions, "Borough"), "mae")
 
 
@@ -120,7 +119,7 @@ def mae(spark, sf):
          count(*) as n from train""",
 )
 def linreg_univariate(spark, sf):
-    train, _ = steps.train_test(spark, sf)
+    train, _ = steps.split(steps.merged(spark, sf))
     return rounded(univariate_line(train), "slope", "intercept")
 
 
@@ -243,7 +242,9 @@ def speed_quartiles(spark, sf):
 @query("speed_quartiles_narrowed", QUARTILE_SQL.format(source="quartiles"))
 def speed_quartiles_narrowed(spark, sf):
     """The passes a large input takes, whatever the size of this one."""
-    found = exact_quantiles(steps.cleaned(spark, sf), "speed", [0.25, 0.75], one_pass_limit=0)
+    found = exact_quantiles(
+        steps.cleaned(spark, sf), "speed", [0.25, 0.75], one_pass_limit=0, ranked_rows=100
+    )
     return rounded(found, "quantile")
 
 
@@ -258,7 +259,9 @@ def speed_quartiles_narrowed(spark, sf):
 )
 def value_quartiles_by_type(spark, sf):
     values = views.events(spark, sf).select("event_type", "value")
-    found = exact_quantiles(values, "value", [0.25, 0.75], ["event_type"], one_pass_limit=0)
+    found = exact_quantiles(
+        values, "value", [0.25, 0.75], ["event_type"], one_pass_limit=0, ranked_rows=100
+    )
     return rounded(found, "quantile")
 
 

@@ -27,7 +27,7 @@ RANKS_SQL = "\n".join(
        {RANKS_SQL}""",
 )
 def string_index(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     indexed = features.string_indexer().fit(train).transform(test)
     return indexed.select("event_id", *[features.indexed(c) for c in CATEGORICAL_FEATURES])
 
@@ -47,7 +47,7 @@ def _ones(column: str):
        {RANKS_SQL}""",
 )
 def one_hot(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     indexer = features.string_indexer().fit(train)
     encoder = features.one_hot_encoder().fit(indexer.transform(train))
     encoded = encoder.transform(indexer.transform(test))
@@ -80,7 +80,7 @@ SIZE_SQL = " + ".join(f"{c}_size" for c in CATEGORICAL_FEATURES)
        {RANKS_SQL}""",
 )
 def assemble(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     _, prepared, _ = features.prepare_features(train, test)
     return prepared.select("event_id", *_vector_cells(features.ASSEMBLED))
 
@@ -102,14 +102,14 @@ def assemble(spark, sf):
            stddev_samp(windgust) as sd_windgust from train)""",
 )
 def standard_scale(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     _, prepared, _ = features.prepare_features(train, test)
     return prepared.select("event_id", *_vector_cells(features.SCALED))
 
 
 @query("prepare_features")
 def prepare_features(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     prepared = features.prepare_features(train, test)[:2]
     first, second = (
         side.select(
@@ -125,7 +125,7 @@ def prepare_features(spark, sf):
 
 @query("predict")
 def predict(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     fit_rows, score_rows, _ = features.prepare_features(train, test)
     scored = duration.predict(fit_rows, score_rows, duration.linear_regression())
     return scored.select("event_id", "trip_duration", "prediction", "predicted_speed")
@@ -138,21 +138,21 @@ def _boroughs(spark, sf) -> list[str]:
 
 @query("linreg_borough")
 def linreg_borough(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     models = {"linear": duration.linear_regression()}
     return duration.borough_predictions(train, test, _boroughs(spark, sf), models)
 
 
 @query("rf_borough")
 def rf_borough(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     models = {"forest": duration.random_forest()}
     return duration.borough_predictions(train, test, _boroughs(spark, sf), models)
 
 
 @query("borough_models")
 def borough_models(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     return duration.borough_scores(train, test, _boroughs(spark, sf))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from curbside.catalog import steps, views
 from curbside.catalog.registry import query
-from curbside.constants import PICKUP
 from curbside.functions import calendar, trip
 from curbside.functions.binning import floored_bin, truncated_bin
 from curbside.functions.weather import merged_snow, rain_flag
@@ -101,9 +100,8 @@ def filter_speed_iqr(spark, sf):
 )
 def filter_speed_train_bounds(spark, sf):
     cleaned = steps.cleaned(spark, sf)
-    split = F.lit(views.TEST_START).cast("timestamp_ntz")
-    bounds = outliers.iqr_bounds(cleaned.where(F.col(PICKUP) < split), "speed")
-    test = cleaned.where(F.col(PICKUP) >= split)
+    train, test = steps.split(cleaned)
+    bounds = outliers.iqr_bounds(train, "speed")
     return outliers.filter_speed_outliers(test, bounds).select("event_id", "speed")
 
 
@@ -233,7 +231,7 @@ LINE_SQL = """(select regr_slope(trip_duration, trip_distance) as slope,
        from test cross join {LINE_SQL}""",
 )
 def predicted_speed(spark, sf):
-    train, test = steps.train_test(spark, sf)
+    train, test = steps.stored_split(spark, sf)
     scored = apply_line(test, univariate_line(train))
     return scored.select(
         "event_id",

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curbside.catalog import views
-from curbside.constants import PICKUP
+from curbside.constants import LABEL, NUMERIC_FEATURES, PICKUP
 from curbside.operators.cleaning import add_duration, add_speed, preprocess_weather
 from curbside.plans import flows
 from curbside.sources.tables import read_boroughs, write_by_borough
 from curbside.workspace import stage_path
 
 
+MODEL_INPUTS = ["pulocationid", "dolocationid", *NUMERIC_FEATURES, "visibility", LABEL, "speed"]
+
+
 def timed(spark: SparkSession, sf: str) -> DataFrame:
     return add_duration(views.trips(spark, sf))
 
@@ -44,15 +47,22 @@ def merged(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Merged trips before and after the split, stored by set and borough.
+def split(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Trips picked up before and from the start of the test period."""
+    start = F.lit(views.TEST_START).cast("timestamp_ntz")
+    return table.where(F.col(PICKUP) < start), table.where(F.col(PICKUP) >= start)
+
+
+def stored_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Merged train and test trips, stored by set and borough.
 
     Models and scores read each side several times; a stored table is computed
     once, and a fit for one borough reads that borough's directory only.
     """
     path = stage_path(spark, "analysis")
+    columns = ["event_id", "day", "hour", *MODEL_INPUTS]
     is_test = F.col(PICKUP) >= F.lit(views.TEST_START).cast("timestamp_ntz")
-    split = merged(spark, sf).withColumn("set_name", F.when(is_test, "test").otherwise("train"))
-    write_by_borough(split, path, "set_name")
+    placed = merged(spark, sf).withColumn("set_name", F.when(is_test, "test").otherwise("train"))
+    write_by_borough(placed.select(*columns, "set_name", "Borough"), path, "set_name")
     both = read_boroughs(spark, path)
     return tuple(both.where(F.col("set_name") == name) for name in ("train", "test"))

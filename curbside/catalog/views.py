@@ -12,17 +12,31 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from curbside.constants import DROPOFF, PICKUP
 from curbside.operators.holidays import calendar_table
+from curbside.sources.schema import struct_of
 from curbside.sources.tables import read_trips
 
 ZONES = (1, 24)
 SHORT_WINDOW = ("2024-01-01 00:00:00", "2024-01-25 23:59:59")
 STUDY_WINDOW = ("2024-01-01 00:00:00", "2024-01-30 23:59:59")
 TEST_START = "2024-01-20 00:00:00"
+# Declared, so that no job is spent on reading them from file footers.
+EVENTS = struct_of(
+    {
+        "event_id": "bigint",
+        "ts": "timestamp_ntz",
+        "user_id": "bigint",
+        "event_type": "string",
+        "value": "double",
+        "props": "string",
+    }
+)
+NATION = struct_of({"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"})
+REGION = struct_of({"r_regionkey": "int", "r_name": "string"})
 CALENDAR = {"2024-01-01": 4, "2024-01-02": 3, "2024-01-15": 4}
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    return read_trips(spark, f"{sf}/events.parquet")
+    return read_trips(spark, f"{sf}/events.parquet", schema=EVENTS)
 
 
 def _dropoff() -> Column:
@@ -63,8 +77,8 @@ def landing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf}/nation.parquet")
-    region = spark.read.parquet(f"{sf}/region.parquet")
+    nation = spark.read.schema(NATION).parquet(f"{sf}/nation.parquet")
+    region = spark.read.schema(REGION).parquet(f"{sf}/region.parquet")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").alias("LocationID"),
         F.col("r_name").alias("Borough"),

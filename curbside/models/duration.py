@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.base import Estimator
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +16,17 @@ from curbside.functions.trip import predicted_speed_mph
 from curbside.models.features import SCALED, prepare_features
 from curbside.operators.stats import mean_absolute_error
 
-PREDICTION_COLUMNS = ["day", "hour", "trip_distance", LABEL, "speed", "prediction", "predicted_speed"]
+# Boroughs fitted at the same time; each fit is itself a distributed job.
+PARALLEL_FITS = 4
+PREDICTION_COLUMNS = [
+    "day",
+    "hour",
+    "trip_distance",
+    LABEL,
+    "speed",
+    "prediction",
+    "predicted_speed",
+]
 
 
 def linear_regression(features: str = SCALED) -> LinearRegression:
@@ -75,32 +87,39 @@ def borough_predictions(
     boroughs: Iterable[str] = MODEL_BOROUGHS,
     models: dict[str, Estimator] | None = None,
     sizes: dict | None = None,
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame | None:
     """Test predictions of every borough and model, with both as columns.
 
     Each borough gets its own feature pipeline. Rows are not grouped into tasks
     by borough: a fit is a distributed job over that borough's rows, so one
-    borough holding most trips only means more tasks in its fits. Boroughs
-    without training rows have no model and no predictions. Give tables
-    partitioned by borough, and each fit reads its own directory only.
+    borough holding most trips only means more tasks in its fits. Up to
+    ``parallelism`` boroughs are fitted at a time, which keeps the cluster busy
+    through the short jobs of small ones. Boroughs without training rows have
+    no model and no predictions. Give tables partitioned by borough, and each
+    fit reads its own directory only.
     """
     models = default_models() if models is None else models
     boroughs = list(boroughs)
     sizes = borough_sizes(train, test, boroughs) if sizes is None else sizes
-    parts = []
-    for borough in boroughs:
-        if sizes[borough][0] == 0:
-            continue
+
+    def fitted(borough: str) -> list[DataFrame]:
         chosen = F.col("Borough") == borough
         fit_rows, score_rows, _ = prepare_features(train.where(chosen), test.where(chosen))
-        for name, estimator in models.items():
-            scored = predict(fit_rows, score_rows, estimator)
-            parts.append(
-                scored.select(
-                    F.lit(borough).alias("Borough"), F.lit(name).alias("model"), *PREDICTION_COLUMNS
-                )
+        return [
+            predict(fit_rows, score_rows, estimator).select(
+                F.lit(borough).alias("Borough"), F.lit(name).alias("model"), *PREDICTION_COLUMNS
             )
-    return reduce(DataFrame.unionByName, parts) if parts else None
+            for name, estimator in models.items()
+        ]
+
+    usable = [borough for borough in boroughs if sizes[borough][0] > 0]
+    if not usable:
+        return None
+    with ThreadPool(min(parallelism, len(usable))) as pool:
+        task = inheritable_thread_target(train.sparkSession)(fitted)
+        parts = [part for listed in pool.map(task, usable) for part in listed]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def borough_scores(

@@ -13,8 +13,12 @@ from curbside.operators.joins import lookup_join
 
 def calendar_table(spark: SparkSession, scales: dict[str, int]) -> DataFrame:
     """``{'yyyy-MM-dd': scale}`` as a table (date, scale) with one row per date."""
-    rows = [(date.fromisoformat(day), scale) for day, scale in scales.items()]
-    return spark.createDataFrame(rows, "date date, scale int")
+    rows = [
+        F.struct(F.lit(date.fromisoformat(day)).alias("date"), F.lit(scale).alias("scale"))
+        for day, scale in scales.items()
+    ]
+    # Literals over a one-row range have a known size; a parallelized list does not.
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def holiday_calendar(spark: SparkSession, set_name: str) -> DataFrame:

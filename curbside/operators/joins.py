@@ -42,6 +42,7 @@ def lookup_join(
     keys: list[str],
     how: str = "inner",
     limit: int = BROADCAST_LIMIT_BYTES,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Equi-join of a large table to a lookup (``inner``, ``left`` or ``left_semi``).
 
@@ -49,18 +50,26 @@ def lookup_join(
     the planner does not know to be small is staged first, so that a lookup
     derived from the facts is computed once and its size known. One above the
     limit is shuffle-joined with every key spread over ``SALTS`` parts, so that
-    a key holding a third of the facts is not one task's work.
+    a key holding a third of the facts is not one task's work. With
+    ``null_safe``, NULL keys match each other.
     """
     if planned_bytes(lookup) > ESTIMATE_LIMIT_BYTES:
         lookup = staged(lookup, "lookup")
+    renamed = {key: f"_lookup_{key}" for key in keys}
     if fits_broadcast(lookup, limit):
-        return facts.join(F.broadcast(lookup), keys, how)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns]), F.lit(SALTS))
-    copies = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    )
-    salted = facts.withColumn("_salt", salt)
-    return salted.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
+        lookup = F.broadcast(lookup.withColumnsRenamed(renamed))
+    else:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns]), F.lit(SALTS))
+        facts = facts.withColumn("_salt", salt)
+        salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+        lookup = lookup.withColumn("_salt", F.explode(salts))
+        renamed["_salt"] = "_lookup__salt"
+        lookup = lookup.withColumnsRenamed(renamed).hint("merge")
+    same = [
+        F.col(key).eqNullSafe(F.col(other)) if null_safe else F.col(key) == F.col(other)
+        for key, other in renamed.items()
+    ]
+    return facts.join(lookup, same, how).drop("_salt", *renamed.values())
 
 
 def join_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:

@@ -11,7 +11,13 @@ from curbside.operators.quantiles import approx_quantiles, exact_quantiles
 QUARTILES = [0.25, 0.75]
 
 
-def quantiles(df, column, probabilities, by=None, method="exact") -> DataFrame:
+def quantiles(
+    df: DataFrame,
+    column: str,
+    probabilities: list[float],
+    by: list[str] | None = None,
+    method: str = "exact",
+) -> DataFrame:
     """Quantiles by ``method``: ``exact`` or ``approx``."""
     if method not in ("exact", "approx"):
         raise ValueError(f"method must be 'exact' or 'approx', got {method!r}")
@@ -55,7 +61,7 @@ def with_bounds(df: DataFrame, bounds: DataFrame, by: list[str] | None = None) -
     """``df`` with the bounds of its group, or the only bounds there are."""
     edges = bounds.select(*(by or []), "lower_bound", "upper_bound")
     if by:
-        return lookup_join(df, edges, by)
+        return lookup_join(df, edges, by, null_safe=True)
     return df.crossJoin(F.broadcast(edges))  # an ungrouped aggregate: exactly one row
 
 
@@ -74,13 +80,13 @@ def flag_outliers(
 def top_outliers(
     df: DataFrame,
     column: str,
-    tie_break: list[str],
+    tie_break: list[str] | None = None,
     bounds: DataFrame | None = None,
     rows: int = TOP_OUTLIERS,
 ) -> DataFrame:
-    """The largest outliers, ties settled by key columns."""
+    """The largest outliers, ties settled by the given or by all columns."""
     flagged = flag_outliers(df, column, bounds).where("is_outlier").drop("is_outlier")
-    return flagged.orderBy(F.col(column).desc(), *tie_break).limit(rows)
+    return flagged.orderBy(F.col(column).desc(), *(tie_break or df.columns)).limit(rows)
 
 
 def filter_speed_outliers(

@@ -2,21 +2,22 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer. That is fine for a small input and impossible for a large
-one, so ``exact_quantiles`` takes it only below a checked size and otherwise
-narrows the search in three passes whose shuffles stay small:
+one, so ``exact_quantiles`` takes it only below a checked size. Above it, the
+range of values around each wanted rank is narrowed pass by pass:
 
-1. row count and an approximate bracket around each probability;
-2. rows per cell, with ``CELLS`` equal-width cells inside the bracket and one
-   on each side of it, which locates the cells holding the wanted ranks;
-3. the values of those cells alone, counted per value and ranked.
+- the first range of a group is its minimum to its maximum;
+- a pass cuts each range into ``CELLS`` equal widths, counts the rows of every
+  cell, and keeps the cell that holds the rank as the next range;
+- once every range has few rows or a single value, the values left are counted
+  per value and ranked.
 
-Cells follow the order of values, so the answer is exact whatever the bracket;
-a poor bracket only makes pass 3 larger.
+A cell number never decreases as the value grows, so the answer is exact. Each
+pass is a scan whose tasks send at most ``CELLS`` rows per range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from curbside.constants import QUANTILE_RELATIVE_ERROR
 from curbside.functions.binning import equal_width_bin
@@ -24,8 +25,12 @@ from curbside.operators.joins import lookup_join, planned_bytes
 from curbside.workspace import staged
 
 ONE_PASS_LIMIT_BYTES = 64 << 20
-BRACKET_ACCURACY = 10_000
 CELLS = 4_096
+# Rows of one range that may be ranked by a single task.
+RANKED_ROWS = 1_000_000
+# Passes after which ranges are ranked whatever their rows; the ranking is exact
+# for any number of rows, its sort then spills.
+MAX_PASSES = 12
 
 
 def _values(df: DataFrame, column: str, by: list[str]) -> DataFrame:
@@ -33,13 +38,6 @@ def _values(df: DataFrame, column: str, by: list[str]) -> DataFrame:
     return df.select(*by, value.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
 
-def _with_marks(rows: DataFrame, marks: DataFrame, by: list[str]) -> DataFrame:
-    """Attach per-group marks; without groups the marks are a fixed number of rows."""
-    if by:
-        return lookup_join(rows, marks, by)
-    return rows.crossJoin(F.broadcast(marks))
-
-
 def approx_quantiles(
     df: DataFrame,
     column: str,
@@ -61,107 +59,154 @@ def exact_quantiles(
     probabilities: list[float],
     by: list[str] | None = None,
     one_pass_limit: int = ONE_PASS_LIMIT_BYTES,
+    ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
-    """Rows (by…, probability, n, quantile), interpolated between neighbouring values."""
+    """Rows (by…, probability, n, quantile), interpolated between neighbouring values.
+
+    Above ``one_pass_limit`` planned bytes the passes run at once, not when the
+    result is used, and their small results are kept in shared storage.
+    """
     by = by or []
     rows = _values(df, column, by)
     if planned_bytes(rows) > one_pass_limit:
-        return _narrowed(rows, probabilities, by)
+        return _narrowed(rows, probabilities, by, ranked_rows)
     wanted = F.percentile("_x", F.array(*[F.lit(float(p)) for p in probabilities]))
     table = rows.groupBy(*by).agg(F.count("_x").alias("n"), wanted.alias("q"))
     return _one_row_per_probability(table, probabilities, by)
 
 
-def _one_row_per_probability(table: DataFrame, probabilities: list[float], by: list[str]):
-    listed = F.array(
-        *[
-            F.struct(F.lit(float(p)).alias("probability"), F.col("n"), F.get("q", F.lit(i)).alias("quantile"))
-            for i, p in enumerate(probabilities)
-        ]
-    )
-    return table.select(*by, F.inline(listed))
-
-
-def _narrowed(rows: DataFrame, probabilities: list[float], by: list[str]) -> DataFrame:
-    # Pass 1: counts and brackets, one row per group and probability.
-    margin = 2 / BRACKET_ACCURACY
-    brackets = [
+def _one_row_per_probability(
+    table: DataFrame, probabilities: list[float], by: list[str]
+) -> DataFrame:
+    listed = [
         F.struct(
             F.lit(float(p)).alias("probability"),
-            F.get("b", F.lit(2 * i)).alias("low"),
-            F.get("b", F.lit(2 * i + 1)).alias("high"),
+            F.col("n"),
+            F.get("q", F.lit(i)).alias("quantile"),
         )
         for i, p in enumerate(probabilities)
     ]
-    edges = [e for p in probabilities for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    position = F.col("probability") * (F.col("n") - 1)
-    marks = staged(
+    return table.select(*by, F.inline(F.array(*listed)))
+
+
+def _narrowed(
+    rows: DataFrame, probabilities: list[float], by: list[str], ranked_rows: int
+) -> DataFrame:
+    targets = staged(_first_targets(rows, probabilities, by), "quantile-targets")
+    for _ in range(MAX_PASSES):
+        unsettled = (F.col("low") < F.col("high")) & (F.col("rows") > ranked_rows)
+        if targets.where(unsettled).isEmpty():
+            break
+        targets = staged(_located(rows, targets, by), "quantile-targets")
+    return _interpolated(_ranked(rows, targets, by), by)
+
+
+def _first_targets(rows: DataFrame, probabilities: list[float], by: list[str]) -> DataFrame:
+    """One row per group and wanted 0-based rank, with the group's whole range.
+
+    ``before`` counts the rows below the range, ``rows`` those inside it.
+    """
+    wanted = []
+    for p in probabilities:
+        place = F.lit(float(p)) * (F.col("n") - 1)
+        for side, rank in (("lower", F.floor(place)), ("upper", F.ceil(place))):
+            wanted.append(
+                F.struct(
+                    F.lit(float(p)).alias("probability"),
+                    F.lit(side).alias("side"),
+                    rank.cast("long").alias("rank"),
+                )
+            )
+    return (
         rows.groupBy(*by)
-        .agg(
-            F.count("_x").alias("n"),
-            F.percentile_approx("_x", edges, BRACKET_ACCURACY).alias("b"),
-        )
+        .agg(F.count("_x").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high"))
         .where("n > 0")
-        .select(*by, "n", F.inline(F.array(*brackets)))
-        .withColumns(
-            {
-                "lower_rank": F.floor(position).cast("long"),
-                "upper_rank": F.ceil(position).cast("long"),
-                "share": position - F.floor(position),
-            }
-        ),
-        "quantile-marks",
+        .select(
+            *by,
+            "n",
+            "low",
+            "high",
+            F.lit(0).cast("long").alias("before"),
+            F.col("n").alias("rows"),
+            F.inline(F.array(*wanted)),
+        )
     )
-    keys = [*by, "probability"]
 
-    # Pass 2: rows per cell; partial counts leave at most CELLS + 2 rows per task and key.
+
+def _in_ranges(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+    """Rows inside the targets' ranges, which are disjoint or the same within a group."""
+    ranges = targets.select(*by, "low", "high", "before").distinct()
+    if by:
+        paired = lookup_join(rows, ranges, by, null_safe=True)
+    else:
+        # At most two ranges per probability.
+        paired = rows.join(F.broadcast(ranges), F.col("_x").between(F.col("low"), F.col("high")))
+    return paired.where(F.col("_x").between(F.col("low"), F.col("high")))
+
+
+def _located(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+    """The targets with the range cut down to the cell that holds their rank."""
+    cell = equal_width_bin(F.col("_x"), F.col("low"), F.col("high"), CELLS)
+    running = Window.partitionBy(*by, "low").orderBy("cell")
     cells = (
-        _with_marks(rows, marks.select(*keys, "low", "high"), by)
-        .withColumn("cell", _cell())
-        .groupBy(*keys, "cell")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        _in_ranges(rows, targets, by)
+        .groupBy(*by, "low", "before", cell.alias("cell"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min("_x").alias("cell_low"),
+            F.max("_x").alias("cell_high"),
+        )
+        .withColumn("start", F.col("before") + F.sum("rows").over(running) - F.col("rows"))
+        .drop("before")
     )
-    running = Window.partitionBy(*keys).orderBy("cell")
-    located = (
-        cells.withColumn("before", F.sum("rows").over(running) - F.col("rows"))
-        .join(F.broadcast(marks) if not by else marks, keys)
-        .where(_holds("lower_rank", "rows") | _holds("upper_rank", "rows"))
-        .select(*keys, "low", "high", "cell", "before")
+    # Cells are few: CELLS per range.
+    sought = targets.select(*by, "n", "probability", "side", "rank", "low")
+    found = lookup_join(cells, sought, [*by, "low"], null_safe=True)
+    return found.where(_holds("start", "rows")).select(
+        *by,
+        "n",
+        F.col("cell_low").alias("low"),
+        F.col("cell_high").alias("high"),
+        F.col("start").alias("before"),
+        "rows",
+        "probability",
+        "side",
+        "rank",
     )
-    located = staged(located, "quantile-cells")
 
-    # Pass 3: the values of the located cells, equal values counted together first.
+
+def _ranked(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+    """The targets with the value at their rank; equal values are counted together first."""
+    ordered = Window.partitionBy(*by, "low").orderBy("_x")
     values = (
-        _with_marks(rows, located, by)
-        .where(_cell() == F.col("cell"))
-        .groupBy(*keys, "cell", "before", "_x")
+        _in_ranges(rows, targets, by)
+        .groupBy(*by, "low", "before", "_x")
         .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("start", F.col("before") + F.sum("copies").over(ordered) - F.col("copies"))
+        .drop("before")
     )
-    ordered = Window.partitionBy(*keys, "cell").orderBy("_x")
-    ranked = values.withColumn(
-        "before", F.col("before") + F.sum("copies").over(ordered) - F.col("copies")
-    ).join(F.broadcast(marks.drop("low", "high")) if not by else marks.drop("low", "high"), keys)
-    lower = F.max(F.when(_holds("lower_rank", "copies"), F.col("_x")))
-    upper = F.max(F.when(_holds("upper_rank", "copies"), F.col("_x")))
+    sought = targets.select(*by, "n", "probability", "side", "rank", "low")
+    found = lookup_join(values, sought, [*by, "low"], null_safe=True)
+    return found.where(_holds("start", "copies"))
+
+
+def _holds(start: str, size: str):
+    """Whether the rank is one of the ``size`` ranks from ``start`` on."""
+    return (F.col(start) <= F.col("rank")) & (F.col("rank") < F.col(start) + F.col(size))
+
+
+def _interpolated(ranked: DataFrame, by: list[str]) -> DataFrame:
+    lower = F.max(F.when(F.col("side") == "lower", F.col("_x")))
+    upper = F.max(F.when(F.col("side") == "upper", F.col("_x")))
+    place = F.col("probability") * (F.col("n") - 1)
+    share = place - F.floor(place)
     return (
-        ranked.groupBy(*keys, "n", "share")
+        ranked.groupBy(*by, "probability", "n")
         .agg(lower.alias("lower"), upper.alias("upper"))
         .select(
-            *keys,
+            *by,
+            "probability",
             "n",
-            (F.col("lower") + F.col("share") * (F.col("upper") - F.col("lower"))).alias("quantile"),
+            (F.col("lower") + share * (F.col("upper") - F.col("lower"))).alias("quantile"),
         )
     )
-
-
-def _cell() -> Column:
-    """Cell of a value relative to its bracket: -1 below, CELLS above."""
-    x, low, high = F.col("_x"), F.col("low"), F.col("high")
-    return (
-        F.when(x < low, -1).when(x > high, CELLS).otherwise(equal_width_bin(x, low, high, CELLS))
-    )
-
-
-def _holds(rank: str, size: str) -> Column:
-    """Whether the 0-based rank falls among ``size`` rows that start after ``before``."""
-    return (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("before") + F.col(size))

@@ -17,22 +17,27 @@ from curbside.operators.stats import days_with_trips, distinct_dates
 HASH_DIGITS = 7
 
 
-def seeded_hash(key: str, seed: int) -> Column:
+def seeded_hash(key: Column, seed: int) -> Column:
     """md5 of ``key:seed`` as text; orders keys at random but repeatably."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")).cast("binary"))
 
 
 def sample_by_hash(
-    df: DataFrame, key: str, fraction: float = SAMPLE_FRACTION, seed: int = SAMPLE_SEED
+    df: DataFrame,
+    key: str | None = None,
+    fraction: float = SAMPLE_FRACTION,
+    seed: int = SAMPLE_SEED,
 ) -> DataFrame:
     """Bernoulli sample without replacement, decided by a hash of the row's key.
 
     Whether a row is drawn does not depend on how the input is partitioned.
+    Without a key the whole row is hashed, so equal rows are drawn together.
     """
     if fraction >= 1:
         return df
     limit = f"{round(fraction * 16**HASH_DIGITS):0{HASH_DIGITS}x}"
-    return df.where(F.substring(seeded_hash(key, seed), 1, HASH_DIGITS) < F.lit(limit))
+    drawn = seeded_hash(F.col(key) if key else F.to_json(F.struct("*")), seed)
+    return df.where(F.substring(drawn, 1, HASH_DIGITS) < F.lit(limit))
 
 
 def first_rows(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:
@@ -42,7 +47,7 @@ def first_rows(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:
 
 def random_dates(trips: DataFrame, days: int = RANDOM_DAYS, seed: int = SAMPLE_SEED) -> DataFrame:
     """``days`` distinct pickup dates at random, or all where there are fewer."""
-    return distinct_dates(trips).orderBy(seeded_hash("date", seed)).limit(days)
+    return distinct_dates(trips).orderBy(seeded_hash(F.col("date"), seed)).limit(days)
 
 
 def trips_on_random_days(
@@ -55,4 +60,4 @@ def random_day(
     trips: DataFrame, at_least: int = MIN_TRIPS_PER_DAY, seed: int = SAMPLE_SEED
 ) -> DataFrame:
     """One random day (row ``day``, ``trip_count``) with enough trips; no row if none."""
-    return days_with_trips(trips, at_least).orderBy(seeded_hash("day", seed)).limit(1)
+    return days_with_trips(trips, at_least).orderBy(seeded_hash(F.col("day"), seed)).limit(1)

@@ -94,7 +94,7 @@ def density_histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) ->
     column holding one value gets a single bin of width 1 around it.
     """
     value = F.col(column).cast("double")
-    values = df.select(value.alias("_x")).where(F.col("_x").isNotNull())
+    values = df.select(value.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     edge = values.agg(
         F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count("_x").alias("_n")
     )
@@ -140,7 +140,7 @@ def kde_curve(
     value = F.col(column).cast("double")
     if resolution is not None:
         value = F.round(value / F.lit(resolution)) * F.lit(resolution)
-    values = df.select(value.alias("_x")).where(F.col("_x").isNotNull())
+    values = df.select(value.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     chosen = (
         F.stddev_samp("_x") * F.pow(F.count("_x"), F.lit(-0.2))
         if bandwidth is None

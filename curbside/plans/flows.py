@@ -35,7 +35,8 @@ def clean_trips(
     trips: DataFrame, pickup, dropoff=None, zone_range: tuple[int, int] = ZONE_RANGE
 ) -> DataFrame:
     """Trips inside the window, zone, distance, duration and speed limits."""
-    plausible = filter_distance(filter_zones(filter_window(trips, pickup, dropoff), zone_range))
+    # Cheapest rules first: a row's later conditions are not evaluated once one fails.
+    plausible = filter_window(filter_distance(filter_zones(trips, zone_range)), pickup, dropoff)
     return timed_trips(plausible)
 
 

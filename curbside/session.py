@@ -10,6 +10,8 @@ SETTINGS = {
     # Run-time re-planning: coalesced shuffles, skew splits, late broadcasts.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call-site capture costs several JVM round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Target of rebalanced writes and of skew splits.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # Rewriting one month or borough must leave the others alone.
