@@ -12,18 +12,20 @@ from curbside.constants import CATEGORICAL_FEATURES
 from curbside.models import duration, features
 from curbside.plans import flows
 
-RANKS_SQL = "\n".join(
-    f"""{'join' if i else 'from test join'} (
-      select {c}, row_number() over (order by count(*) desc, cast({c} as varchar)) - 1 as {c}_rank,
-        count(*) over () as {c}_size
-      from train group by {c}) using ({c})"""
-    for i, c in enumerate(CATEGORICAL_FEATURES)
+# Test rows with the rank of each category among the train rows (most frequent first,
+# ties by text) and the number of categories. A value unseen in training has no rank.
+RANKS_SQL = "from test\n" + "\n".join(
+    f"""left join (
+      select {c}, row_number() over (order by count(*) desc, cast({c} as varchar)) - 1 as {c}_rank
+      from train group by {c}) using ({c})
+    cross join (select count(distinct {c}) as {c}_size from train)"""
+    for c in CATEGORICAL_FEATURES
 )
 
 
 @query(
     "string_index",
-    f"""select event_id, {', '.join(f'cast({c}_rank as double) as {c}_index' for c in CATEGORICAL_FEATURES)}
+    f"""select event_id, {', '.join(f'cast(coalesce({c}_rank, {c}_size) as double) as {c}_index' for c in CATEGORICAL_FEATURES)}
        {RANKS_SQL}""",
 )
 def string_index(spark, sf):
@@ -33,7 +35,7 @@ def string_index(spark, sf):
 
 
 def _ones(column: str):
-    """Position of the 1 in a one-hot vector and the vector's size."""
+    """Position of the 1 in a one-hot vector, -1 if there is none, and the vector's size."""
     array = vector_to_array(F.col(features.encoded(column)))
     return [
         (F.array_position(array, 1.0) - 1).cast("bigint").alias(f"{column}_slot"),
@@ -43,7 +45,7 @@ def _ones(column: str):
 
 @query(
     "one_hot",
-    f"""select event_id, {', '.join(f'{c}_rank as {c}_slot, {c}_size' for c in CATEGORICAL_FEATURES)}
+    f"""select event_id, {', '.join(f'coalesce({c}_rank, -1) as {c}_slot, {c}_size' for c in CATEGORICAL_FEATURES)}
        {RANKS_SQL}""",
 )
 def one_hot(spark, sf):

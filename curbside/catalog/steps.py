@@ -62,7 +62,8 @@ def stored_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     path = stage_path(spark, "analysis")
     columns = ["event_id", "day", "hour", *MODEL_INPUTS]
     is_test = F.col(PICKUP) >= F.lit(views.TEST_START).cast("timestamp_ntz")
-    placed = merged(spark, sf).withColumn("set_name", F.when(is_test, "test").otherwise("train"))
-    write_by_borough(placed.select(*columns, "set_name", "Borough"), path, "set_name")
-    both = read_boroughs(spark, path)
+    set_name = F.when(is_test, "test").otherwise("train").alias("set_name")
+    placed = merged(spark, sf).select(*columns, set_name, "Borough")
+    write_by_borough(placed, path, "set_name")
+    both = read_boroughs(spark, path, schema=placed.schema)
     return tuple(both.where(F.col("set_name") == name) for name in ("train", "test"))

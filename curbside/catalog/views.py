@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from curbside.constants import DROPOFF, PICKUP
+from curbside.constants import DROPOFF, PICKUP, WEATHER_COLUMN_TYPES
+from curbside.functions.calendar import hour_slot
 from curbside.operators.holidays import calendar_table
 from curbside.sources.schema import struct_of
 from curbside.sources.tables import read_trips
@@ -40,15 +41,21 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dropoff() -> Column:
+    """The dropoff instant, as a one-row generator.
+
+    Conditions on a generated column are not rewritten into conditions on its
+    inputs, so the costly addition runs once per event instead of once per
+    condition, as if the dropoff were stored.
+    """
     seconds = F.round(F.col("value") * 60).cast("bigint")
-    return F.timestamp_add("SECOND", seconds, "ts")
+    return F.inline(F.array(F.struct(F.timestamp_add("SECOND", seconds, "ts").alias(DROPOFF))))
 
 
 def trips(spark: SparkSession, sf: str) -> DataFrame:
     return events(spark, sf).select(
         "event_id",
         F.col("ts").alias(PICKUP),
-        _dropoff().alias(DROPOFF),
+        _dropoff(),
         ((F.col("event_id") % 5200) / F.lit(100.0)).alias("trip_distance"),
         (F.col("user_id") % 27).cast("int").alias("pulocationid"),
         (F.col("event_id") % 27).cast("int").alias("dolocationid"),
@@ -65,7 +72,7 @@ def landing(spark: SparkSession, sf: str) -> DataFrame:
         "event_id",
         (F.col("user_id") % 3).alias("VendorID"),
         F.col("ts").alias(PICKUP),
-        _dropoff().alias(DROPOFF),
+        _dropoff(),
         (F.col("event_id") % 9 + F.lit(0.7)).alias("passenger_count"),
         ((F.col("event_id") % 5200) / F.lit(100.0)).alias("trip_distance"),
         F.when(kind != "signup", (F.col("event_id") % 7).cast("double")).alias("RatecodeID"),
@@ -90,12 +97,10 @@ def zones(spark: SparkSession, sf: str) -> DataFrame:
 def weather(spark: SparkSession, sf: str) -> DataFrame:
     """One row per hour that has events; some measures are NULL in some hours."""
     kind, value = F.col("event_type"), F.col("value")
-    hour = F.make_timestamp_ntz(
-        F.year("ts"), F.month("ts"), F.day("ts"), F.hour("ts"), F.lit(0), F.lit(0)
-    )
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return (
         events(spark, sf)
-        .groupBy(hour.alias("datetime"))
+        .groupBy(hour_slot("ts").alias("slot"))
         .agg(
             (F.min("value") - 5).alias("temp"),
             F.min(F.when(kind == "error", value)).alias("snow"),
@@ -106,6 +111,8 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
             .otherwise("Clear")
             .alias("conditions"),
         )
+        .withColumn("datetime", F.timestamp_add("HOUR", F.col("slot"), epoch))
+        .select(*WEATHER_COLUMN_TYPES)
     )
 
 

@@ -22,4 +22,4 @@ def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Colu
     """
     share = F.try_divide(value - low, high - low)
     index = F.least(F.floor(share * F.lit(bins)).cast("int"), F.lit(bins - 1))
-    return F.when(value.isNotNull(), F.coalesce(index, F.lit(0)))
+    return F.when(value.isNotNull(), F.when(high > low, index).otherwise(0))

@@ -24,7 +24,7 @@ def calendar_date(instant: str = PICKUP) -> Column:
 
 def day_text(instant: str = PICKUP) -> Column:
     """Date as ``yyyy-MM-dd`` text."""
-    return F.date_format(F.col(instant), "yyyy-MM-dd")
+    return calendar_date(instant).cast("string")
 
 
 def hour_of_day(instant: str = PICKUP) -> Column:

@@ -17,7 +17,7 @@ from curbside.models.features import SCALED, prepare_features
 from curbside.operators.stats import mean_absolute_error
 
 # Boroughs fitted at the same time; each fit is itself a distributed job.
-PARALLEL_FITS = 4
+PARALLEL_FITS = 6
 PREDICTION_COLUMNS = [
     "day",
     "hour",

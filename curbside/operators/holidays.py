@@ -13,12 +13,11 @@ from curbside.operators.joins import lookup_join
 
 def calendar_table(spark: SparkSession, scales: dict[str, int]) -> DataFrame:
     """``{'yyyy-MM-dd': scale}`` as a table (date, scale) with one row per date."""
-    rows = [
-        F.struct(F.lit(date.fromisoformat(day)).alias("date"), F.lit(scale).alias("scale"))
-        for day, scale in scales.items()
-    ]
-    # Literals over a one-row range have a known size; a parallelized list does not.
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    # A VALUES list has a known size and needs no job; a parallelized list has neither.
+    listed = ", ".join(
+        f"(date '{date.fromisoformat(day)}', {int(scale)})" for day, scale in scales.items()
+    )
+    return spark.sql(f"select * from values {listed} as calendar(date, scale)")
 
 
 def holiday_calendar(spark: SparkSession, set_name: str) -> DataFrame:

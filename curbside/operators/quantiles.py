@@ -24,7 +24,7 @@ from curbside.functions.binning import equal_width_bin
 from curbside.operators.joins import lookup_join, planned_bytes
 from curbside.workspace import staged
 
-ONE_PASS_LIMIT_BYTES = 64 << 20
+ONE_PASS_LIMIT_BYTES = 16 << 20
 CELLS = 4_096
 # Rows of one range that may be ranked by a single task.
 RANKED_ROWS = 1_000_000
@@ -70,8 +70,13 @@ def exact_quantiles(
     rows = _values(df, column, by)
     if planned_bytes(rows) > one_pass_limit:
         return _narrowed(rows, probabilities, by, ranked_rows)
-    wanted = F.percentile("_x", F.array(*[F.lit(float(p)) for p in probabilities]))
-    table = rows.groupBy(*by).agg(F.count("_x").alias("n"), wanted.alias("q"))
+    # Equal values are counted together by a hash aggregate, far cheaper per row than
+    # the ordered buffer of ``percentile``, which then sees distinct values only.
+    counted = rows.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("copies"))
+    wanted = F.percentile("_x", F.array(*[F.lit(float(p)) for p in probabilities]), F.col("copies"))
+    table = counted.groupBy(*by).agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("n"), wanted.alias("q")
+    )
     return _one_row_per_probability(table, probabilities, by)
 
 

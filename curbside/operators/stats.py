@@ -30,8 +30,11 @@ def avg_speed_by_bin(trips: DataFrame, feature: str, size: int, truncate: bool =
 
 
 def trips_per_day(trips: DataFrame, instant: str = PICKUP) -> DataFrame:
-    day = F.date_format(F.col(instant), "yyyy-MM-dd")
-    return trips.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("trip_count"))
+    """Trips of every day (text); dates become text only after they are counted."""
+    counted = trips.groupBy(calendar_date(instant).alias("date")).agg(
+        F.count(F.lit(1)).alias("trip_count")
+    )
+    return counted.select(F.col("date").cast("string").alias("day"), "trip_count")
 
 
 def days_with_trips(trips: DataFrame, at_least: int = MIN_TRIPS_PER_DAY) -> DataFrame:

@@ -109,8 +109,11 @@ def write_by_borough(df: DataFrame, path: str, *outer: str) -> None:
 
 
 def read_boroughs(
-    spark: SparkSession, path: str, boroughs: Iterable[str] | None = None
+    spark: SparkSession,
+    path: str,
+    boroughs: Iterable[str] | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Per-borough table; a list of boroughs prunes the directories read."""
-    table = spark.read.parquet(path)
+    table = read_trips(spark, path, schema=schema)
     return table if boroughs is None else table.where(F.col("Borough").isin(list(boroughs)))
