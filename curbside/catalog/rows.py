@@ -12,7 +12,7 @@ from curbside.functions.weather import merged_snow, rain_flag
 from curbside.models.duration import apply_line, univariate_line
 from curbside.operators import cleaning, outliers
 from curbside.operators.stats import known_boroughs as list_known_boroughs, trips_per_borough
-from curbside.operators.joins import join_zones, keep_dates
+from curbside.operators.joins import join_zones, keep_dates, lookup_join
 
 
 @query(
@@ -207,7 +207,7 @@ def semi_join_dates(spark, sf):
 def known_boroughs(spark, sf):
     known = list_known_boroughs(views.zones(spark, sf), ["EUROPE"])
     placed = join_zones(views.trips(spark, sf), views.zones(spark, sf))
-    return trips_per_borough(placed.join(F.broadcast(known), "Borough", "left_semi"))
+    return trips_per_borough(lookup_join(placed, known, ["Borough"], "left_semi"))
 
 
 @query("trip_duration", "select event_id, trip_duration from timed")

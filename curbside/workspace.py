@@ -12,7 +12,9 @@ def stage_path(spark: SparkSession, label: str) -> str:
     """New path under the session's ``spark.checkpoint.dir``.
 
     A machine-local folder is used only by a local-mode session that names none;
-    on a cluster the executors could not see it, so a missing setting is an error.
+    on a cluster the executors could not see it, so a missing setting is an
+    error. Paths of one application share a folder, which the file system drops
+    when the application ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -20,7 +22,17 @@ def stage_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="curbside-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/curbside/{label}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/curbside-{spark.sparkContext.applicationId}"
+    _drop_at_exit(spark, folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def _drop_at_exit(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
