@@ -88,7 +88,7 @@ def borough_predictions(
     models: dict[str, Estimator] | None = None,
     sizes: dict | None = None,
     parallelism: int = PARALLEL_FITS,
-) -> DataFrame | None:
+) -> DataFrame:
     """Test predictions of every borough and model, with both as columns.
 
     Each borough gets its own feature pipeline. Rows are not grouped into tasks
@@ -115,7 +115,9 @@ def borough_predictions(
 
     usable = [borough for borough in boroughs if sizes[borough][0] > 0]
     if not usable:
-        return None
+        nothing = {name: F.lit(None).cast("double") for name in ("prediction", "predicted_speed")}
+        blank = test.withColumns({**nothing, "model": F.lit("")}).where("false")
+        return blank.select("Borough", "model", *PREDICTION_COLUMNS)
     with ThreadPool(min(parallelism, len(usable))) as pool:
         task = inheritable_thread_target(train.sparkSession)(fitted)
         parts = [part for listed in pool.map(task, usable) for part in listed]
@@ -132,17 +134,16 @@ def borough_scores(
     models = default_models() if models is None else models
     boroughs = list(boroughs)
     sizes = borough_sizes(train, test, boroughs)
+
+    def status(train_rows: int, test_rows: int) -> str:
+        if not train_rows:
+            return "no training rows"
+        return "scored" if test_rows else "no test rows"
+
     listed = train.sparkSession.createDataFrame(
-        [
-            (borough, model, *sizes[borough], "no training rows" if not sizes[borough][0]
-             else "no test rows" if not sizes[borough][1] else "scored")
-            for borough in boroughs
-            for model in models
-        ],
+        [(b, m, *sizes[b], status(*sizes[b])) for b in boroughs for m in models],
         "Borough string, model string, train_rows bigint, test_rows bigint, status string",
     )
     predictions = borough_predictions(train, test, boroughs, models, sizes)
-    if predictions is None:
-        return listed.withColumn("mae", F.lit(None).cast("double"))
     scores = mean_absolute_error(predictions, "Borough", "model").drop("predictions")
     return listed.join(F.broadcast(scores), ["Borough", "model"], "left")

@@ -104,6 +104,9 @@ def test_boroughs_without_rows_are_reported(spark):
 
 def test_no_borough_with_training_rows(spark):
     empty = planted(spark, 10).where("false")
+    predictions = duration.borough_predictions(empty, empty, ["Queens"])
+    assert predictions.columns == ["Borough", "model", *duration.PREDICTION_COLUMNS]
+    assert predictions.count() == 0
     scores = duration.borough_scores(empty, empty, ["Queens"])
     assert rows(scores, "Borough", "model", "status", "mae") == [
         ("Queens", "forest", "no training rows", None),

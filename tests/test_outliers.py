@@ -42,6 +42,16 @@ def test_narrowed_quantiles_are_exact(spark, shape):
         assert found[p] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12), p
 
 
+def test_ranking_is_exact_without_any_narrowing(spark, monkeypatch):
+    from curbside.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "MAX_PASSES", 0)
+    values = SHAPES["one hot value"]
+    found = {r["probability"]: r["quantile"] for r in narrowed(numbers(spark, values), [0.1, 0.9]).collect()}
+    for p, quantile in found.items():
+        assert quantile == pytest.approx(np.quantile(values, p), rel=1e-12)
+
+
 def test_narrowed_quantiles_by_group_with_a_null_key_and_a_hot_key(spark):
     table = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 30 != 1, F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
