@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,22 +10,29 @@ from pyspark.sql import DataFrame, SparkSession
 def stage_path(spark: SparkSession, label: str) -> str:
     """New path under the session's ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only by a local-mode session that names none;
-    on a cluster the executors could not see it, so a missing setting is an
-    error. Paths of one application share a folder, which the file system drops
-    when the application ends.
+    A session that names no such folder gets one on the default file system,
+    named after the application. Where that file system is the machine's own,
+    only a local-mode session may use it: executors of a cluster could not see
+    it, so there a missing setting is an error. Paths of one application share
+    a folder, which the file system drops when the application ends.
     """
+    application = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="curbside-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    folder = f"{root.rstrip('/')}/curbside-{spark.sparkContext.applicationId}"
+        root = _default_root(spark)
+    folder = f"{root.rstrip('/')}/curbside-{application}"
     _drop_at_exit(spark, folder)
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
+def _default_root(spark: SparkSession) -> str:
+    files = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    one_machine = spark.sparkContext.master.partition("[")[0] == "local"
+    if files.getUri().getScheme() == "file" and not one_machine:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    return files.makeQualified(spark._jvm.org.apache.hadoop.fs.Path("/tmp")).toString()
+
+
 def _drop_at_exit(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
