@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbside.llm import quality_rules
+from curbside.llm import mixing, quality_crf, quality_rules
 from curbside.llm.text import table
 
 
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.host_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_rates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality_crf": op1_quality_crf,
     "op2_quality_rules": op2_quality_rules,
+    "op7_mixing": op7_mixing,
 }
 
 ORACLES = {
