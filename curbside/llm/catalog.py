@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbside.llm import mixing, quality_crf, quality_rules
+from curbside.llm import language_gru, mixing, quality_crf, quality_rules
 from curbside.llm.text import table
 
 
@@ -18,6 +18,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.host_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_gru.predict_language(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_rates(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_crf": op1_quality_crf,
     "op2_quality_rules": op2_quality_rules,
+    "op6_language_gru": op6_language_gru,
     "op7_mixing": op7_mixing,
 }
 
