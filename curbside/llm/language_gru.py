@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -321,9 +322,9 @@ def keep_known_languages(
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text):
             for found in predicted(iter([batch])):
-                known = pa.compute.not_equal(found.column("lang_pred"), UNKNOWN)
-                sure = pa.compute.greater_equal(found.column("score"), least)
-                yield batch.filter(pa.compute.and_(known, sure))
+                known = pc.not_equal(found.column("lang_pred"), UNKNOWN)
+                sure = pc.greater_equal(found.column("score"), least)
+                yield batch.filter(pc.and_(known, sure))
 
     return docs.mapInArrow(kept, docs.schema)
 

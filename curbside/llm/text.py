@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Fixed value: what separates words (space and the five ASCII controls 09 to 0D).
@@ -45,7 +46,7 @@ def small_batches(
 ) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose ``column`` (string or binary) holds about ``limit`` bytes."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
         start, held = 0, 0
         for row, size in enumerate(sizes.tolist()):
             if held and held + size > limit:
