@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curbside.llm import language_gru, mixing, quality_crf, quality_rules
+from curbside.llm import bpe_transducer, language_gru, mixing, quality_crf, quality_rules
 from curbside.llm.text import table
 
 
@@ -26,11 +27,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_rates(table(spark, sf_dir, "documents"))
 
 
+def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe_transducer.encode_digests(table(spark, sf_dir, "documents"), path)
+
+
 QUERIES = {
     "op1_quality_crf": op1_quality_crf,
     "op2_quality_rules": op2_quality_rules,
     "op6_language_gru": op6_language_gru,
     "op7_mixing": op7_mixing,
+    "op10_bpe_transducer": op10_bpe_transducer,
 }
 
 ORACLES = {
