@@ -5,9 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curbside.llm import bpe_transducer, language_gru, mixing, quality_crf, quality_rules
+from curbside.llm import (
+    bpe_transducer,
+    language_gru,
+    mixing,
+    pii_feistel,
+    quality_crf,
+    quality_rules,
+)
 from curbside.llm.text import table
 
+# Key of the pseudonyms in these queries over invented data; real ones bring their own secret.
+PSEUDONYM_KEY = b"invented documents"
+
 
 def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.score_quality(
@@ -27,6 +37,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_rates(table(spark, sf_dir, "documents"))
 
 
+def op8_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_feistel.pseudonym_report(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe_transducer.encode_digests(table(spark, sf_dir, "documents"), path)
@@ -37,6 +51,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op6_language_gru": op6_language_gru,
     "op7_mixing": op7_mixing,
+    "op8_pii_feistel": op8_pii_feistel,
     "op10_bpe_transducer": op10_bpe_transducer,
 }
 
