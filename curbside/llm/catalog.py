@@ -12,6 +12,7 @@ from curbside.llm import (
     pii_feistel,
     quality_crf,
     quality_rules,
+    token_trie,
 )
 from curbside.llm.text import table
 
@@ -29,6 +30,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.host_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_token_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_trie.token_counts(table(spark, sf_dir, "documents"), path)
+
+
 def op6_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_gru.predict_language(table(spark, sf_dir, "documents"))
 
@@ -49,6 +55,7 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_crf": op1_quality_crf,
     "op2_quality_rules": op2_quality_rules,
+    "op4_token_trie": op4_token_trie,
     "op6_language_gru": op6_language_gru,
     "op7_mixing": op7_mixing,
     "op8_pii_feistel": op8_pii_feistel,
