@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from curbside.llm import (
+    ann_multiprobe,
     bpe_transducer,
     language_gru,
     mixing,
@@ -35,6 +36,11 @@ def op4_token_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_trie.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+def op5_ann_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann_multiprobe.search(rows, lambda vec_id: vec_id % 100 == 0)
+
+
 def op6_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_gru.predict_language(table(spark, sf_dir, "documents"))
 
@@ -56,6 +62,7 @@ QUERIES = {
     "op1_quality_crf": op1_quality_crf,
     "op2_quality_rules": op2_quality_rules,
     "op4_token_trie": op4_token_trie,
+    "op5_ann_multiprobe": op5_ann_multiprobe,
     "op6_language_gru": op6_language_gru,
     "op7_mixing": op7_mixing,
     "op8_pii_feistel": op8_pii_feistel,
