@@ -13,6 +13,7 @@ from curbside.llm import (
     pii_feistel,
     quality_crf,
     quality_rules,
+    shingle_join,
     token_trie,
 )
 from curbside.llm.text import table
@@ -31,6 +32,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.host_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_token_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_trie.token_counts(table(spark, sf_dir, "documents"), path)
@@ -61,6 +66,7 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_crf": op1_quality_crf,
     "op2_quality_rules": op2_quality_rules,
+    "op3_shingle_join": op3_shingle_join,
     "op4_token_trie": op4_token_trie,
     "op5_ann_multiprobe": op5_ann_multiprobe,
     "op6_language_gru": op6_language_gru,
