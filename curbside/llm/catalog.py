@@ -14,6 +14,7 @@ from curbside.llm import (
     quality_crf,
     quality_rules,
     shingle_join,
+    suffix_dedup,
     token_trie,
 )
 from curbside.llm.text import table
@@ -58,6 +59,10 @@ def op8_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_feistel.pseudonym_report(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe_transducer.encode_digests(table(spark, sf_dir, "documents"), path)
@@ -72,6 +77,7 @@ QUERIES = {
     "op6_language_gru": op6_language_gru,
     "op7_mixing": op7_mixing,
     "op8_pii_feistel": op8_pii_feistel,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_transducer": op10_bpe_transducer,
 }
 
