@@ -41,7 +41,7 @@ RATE = 0.01
 SEED = 17
 
 # A pipeline keeps documents whose language is at least this likely.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 # Words whose sums a task keeps, and words run through the network at once.
 KEPT_WORDS = 250_000
