@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from curbside.llm.text import crc_remainder, small_batches
 
-TRAIN_DOCS = 6_000
-TRAIN_CHARS = 40_000
+TRAIN_DOCS = 3_000
+TRAIN_CHARS = 20_000
 STEPS = 200
 RATE = 0.05
 RIDGE = 1e-3
@@ -222,6 +222,15 @@ def _gradient(x, y, chains, w, t):
     return dw, dt
 
 
+def _in_parts(texts: list[str | None], size: int = 100) -> Lines:
+    """Features of many texts, a part at a time: they take far less room than what makes them."""
+    parts = []
+    for start in range(0, len(texts), size):
+        part = line_features(pa.array(texts[start : start + size], pa.large_string()))
+        parts.append(Lines(part.x, part.doc + start, part.size))
+    return Lines(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("x", "doc", "size")))
+
+
 def fit(texts: list[str | None], labels: list[int], steps: int = STEPS) -> Model:
     """Fit chain and logistic on whole training texts held in memory."""
     labels = np.array(labels, float)
@@ -229,7 +238,7 @@ def fit(texts: list[str | None], labels: list[int], steps: int = STEPS) -> Model
     share = (labels.sum() + 1) / (len(labels) + 2)
     if len(labels) == 0 or labels.min() == labels.max():
         return Model(np.zeros(FEATURES), np.ones(FEATURES), None, flat, 0.0, float(np.log(share / (1 - share))))
-    lines = line_features(pa.array(texts, pa.large_string()))
+    lines = _in_parts(texts)
     mean, scale = lines.x.mean(0), lines.x.std(0) + 1e-6
     x = with_neighbours((lines.x - mean) / scale, lines.doc)
     y = labels[lines.doc]
