@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from curbside.llm.text import crc_remainder, small_batches
 
 UNKNOWN = "und"
-TRAIN_DOCS = 1_600
+TRAIN_DOCS = 1_000
 TRAIN_CHARS = 20_000
 HIDDEN = 12
 PIECE = 32
