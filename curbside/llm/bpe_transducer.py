@@ -28,14 +28,16 @@ from array import array
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 from curbside.llm.text import small_batches, words_of
 
-# Words compiled into the lexicon, and cuts a worker remembers.
-LEXICON_WORDS = 50_000
+# Occurrences per byte from which a word is compiled into the lexicon: at most 250,000 words.
+LEXICON_SHARE = 2e-6
+# Cuts that a worker remembers.
 KEPT_CUTS = 300_000
 # Bytes from which a pre-token is merged with a queue.
 LONG_TOKEN = 200
@@ -74,6 +76,9 @@ class Vocabulary:
         for rank, (a, b) in enumerate(merges):
             self.ranks[ids[a], ids[b]] = rank
             self.wholes.append(ids[a + b])
+        pairs = np.array([a << 32 | b for a, b in self.ranks], np.int64)
+        self.pair_order = np.argsort(pairs)
+        self.pair_keys = pairs[self.pair_order]
         byte_of = {c: b for b, c in enumerate(letters)}
         self.pieces = {i: bytes(byte_of[c] for c in token) for token, i in ids.items()}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -83,27 +88,73 @@ class Vocabulary:
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of one pre-token: the pair of lowest rank merges first, leftmost of equals."""
-        ids = [self.bytes_ids[b] for b in token]
-        return self._merge_long(ids) if len(ids) > LONG_TOKEN else self._merge_short(ids)
-
-    def _merge_short(self, ids: list[int]) -> list[int]:
-        rank = self.ranks.get
-        ranks = [rank(pair, NEVER) for pair in zip(ids, ids[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == NEVER:
-                break
-            at = ranks.index(best)
-            ids[at : at + 2] = [self.wholes[best]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = rank((ids[at - 1], ids[at]), NEVER)
-            if at < len(ranks):
-                ranks[at] = rank((ids[at], ids[at + 1]), NEVER)
-        return ids
+        return self.merge_all([token])[0]
+
+    def merge_all(self, tokens: list[bytes]) -> list[list[int]]:
+        """The same for many pre-tokens at once, one merge of each in every round."""
+        out: list[list[int]] = [[]] * len(tokens)
+        short = []
+        for number, token in enumerate(tokens):
+            if len(token) > LONG_TOKEN:
+                out[number] = self._merge_long([self.bytes_ids[b] for b in token])
+            elif token:
+                short.append(number)
+        for number, ids in zip(short, self._merge_rounds([tokens[i] for i in short])):
+            out[number] = ids
+        return out
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_order[at], NEVER)
+
+    def _merge_rounds(self, tokens: list[bytes]) -> list[list[int]]:
+        if not tokens:
+            return []
+        sizes = np.array([len(t) for t in tokens])
+        ids = np.array(self.bytes_ids, np.int64)[np.frombuffer(b"".join(tokens), np.uint8)]
+        word = np.repeat(np.arange(len(tokens)), sizes)
+        ranks = np.full(len(ids), NEVER)
+        inner = np.flatnonzero(word[:-1] == word[1:])
+        ranks[inner] = self._pair_ranks(ids[inner], ids[inner + 1])
+        wholes = np.array(self.wholes, np.int64)
+        done_ids, done_words = [], []
+        while len(ids):
+            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            best = np.minimum.reduceat(ranks, starts)
+            lengths = np.diff(np.append(starts, len(ids)))
+            ended = np.repeat(best == NEVER, lengths)
+            if ended.any():
+                done_ids.append(ids[ended])
+                done_words.append(word[ended])
+                ids, word, ranks = ids[~ended], word[~ended], ranks[~ended]
+                lengths, best = lengths[best != NEVER], best[best != NEVER]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(ranks == np.repeat(best, lengths))
+            at = at[np.r_[True, word[at[1:]] != word[at[:-1]]]]
+            ids[at] = wholes[best]
+            kept = np.ones(len(ids), bool)
+            kept[at + 1] = False
+            ids, word, ranks = ids[kept], word[kept], ranks[kept]
+            at -= np.arange(len(at))
+            for left in (at, at - 1):
+                left = left[(left >= 0) & (left < len(ids))]
+                whole = left[left + 1 < len(ids)]
+                same = whole[word[whole] == word[whole + 1]]
+                here = np.isin(left, same, assume_unique=True, kind="sort") if len(same) < len(left) else slice(None)
+                fresh = np.full(len(left), NEVER)
+                fresh[here] = self._pair_ranks(ids[same], ids[same + 1])
+                # The place before a word's first belongs to another word and keeps its rank.
+                ranks[left] = fresh
+        flat, owner = np.concatenate(done_ids), np.concatenate(done_words)
+        order = np.argsort(owner, kind="stable")
+        ends = np.cumsum(np.bincount(owner, minlength=len(tokens)))
+        flat = flat[order].tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same by a queue, for tokens too long to scan for every merge."""
+        """The same by a queue, for a token too long to scan for every merge."""
         size = len(ids)
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
         queue = []
@@ -212,25 +263,46 @@ class Lexicon:
         for length in lengths:
             views.append((at, at + length))
             at += length
-        self.labels_at, marks_at = views[0][0], views[1][0]
         whole = memoryview(self.block)
-        self.final = whole[marks_at : views[1][1]]
+        labels, self.final = (np.frombuffer(whole[a:b], np.uint8) for a, b in views[:2])
         self.firsts, self.targets, self.numbers, self.ends, self.table = (
-            whole[a:b].cast("I") for a, b in views[2:]
+            np.frombuffer(whole[a:b], np.uint32) for a, b in views[2:]
         )
+        # Edges lie in order of state and label, so one search finds a state's edge.
+        states = np.repeat(np.arange(len(self.firsts) - 1), np.diff(self.firsts.astype(np.int64)))
+        self.edges = states << 8 | labels[: len(states)]
+
+    def find_all(self, words: list[bytes]) -> list[list[int] | None]:
+        """Id sequences of the words that are in the lexicon, all followed letter by letter."""
+        out: list[list[int] | None] = [None] * len(words)
+        if not self.size:
+            return out
+        length = np.array([len(w) for w in words], np.int64)
+        starts = np.cumsum(length) - length
+        data = np.frombuffer(b"".join(words), np.uint8)
+        going = np.arange(len(words))
+        state = np.full(len(words), self.start, np.int64)
+        place = np.zeros(len(words), np.int64)
+        step = 0
+        while len(going):
+            ended = length[going] == step
+            for i in going[ended & (self.final[state] > 0)].tolist():
+                at = int(place[i])
+                out[i] = self.table[self.ends[at] : self.ends[at + 1]].tolist()
+            going, state = going[~ended], state[~ended]
+            if not len(going) or not len(self.edges):
+                break
+            keys = state << 8 | data[starts[going] + step]
+            edge = np.minimum(np.searchsorted(self.edges, keys), len(self.edges) - 1)
+            there = self.edges[edge] == keys
+            going, edge = going[there], edge[there]
+            place[going] += self.numbers[edge]
+            state = self.targets[edge].astype(np.int64)
+            step += 1
+        return out
 
     def find(self, word: bytes) -> list[int] | None:
-        state, place, at = self.start, 0, self.labels_at
-        for i in range(len(word)):
-            first, end = self.firsts[state], self.firsts[state + 1]
-            edge = self.block.find(word[i : i + 1], at + first, at + end) - at
-            if edge < 0:
-                return None
-            place += self.numbers[edge]
-            state = self.targets[edge]
-        if not self.size or not self.final[state]:
-            return None
-        return self.table[self.ends[place] : self.ends[place + 1]].tolist()
+        return self.find_all([word])[0]
 
 
 class Codec:
@@ -242,37 +314,45 @@ class Codec:
         self.codes: dict[str, str] = {}
         self.texts: dict[str, bytes] = {}
 
-    def ids(self, cut: str) -> list[int]:
-        out: list[int] = []
-        for token in PRE_TOKENS.findall(cut):
-            coded = token.encode()
-            found = self.lexicon.find(coded)
-            out += self.vocabulary.merge(coded) if found is None else found
-        return out
-
-    def _code(self, cut: str) -> str:
-        code = ",".join(map(str, self.ids(cut)))
-        if len(self.codes) >= KEPT_CUTS:  # forget the older half
-            self.codes = dict(islice(self.codes.items(), KEPT_CUTS // 2, None))
+    def ids_of(self, tokens: list[bytes]) -> list[list[int]]:
+        """Ids of pre-tokens: from the lexicon, or else merged."""
+        found = self.lexicon.find_all(tokens)
+        lacking = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(lacking, self.vocabulary.merge_all([tokens[i] for i in lacking])):
+            found[i] = ids
+        return found
+
+    def learn(self, cuts: list[str]) -> None:
+        """Remember the codes of cuts not met before."""
+        if len(self.codes) + len(cuts) > KEPT_CUTS:  # forget the older half
+            self.codes = dict(islice(self.codes.items(), len(self.codes) // 2, None))
             self.texts = {}
-        self.codes[cut] = code
-        return code
+        tokens = [PRE_TOKENS.findall(cut) for cut in cuts]
+        distinct = list(dict.fromkeys(t for listed in tokens for t in listed))
+        ids = self.ids_of([t.encode() for t in distinct])
+        code = dict(zip(distinct, (",".join(map(str, i)) for i in ids)))
+        self.codes.update((cut, ",".join([code[t] for t in listed])) for cut, listed in zip(cuts, tokens))
+
+    def encode_all(self, texts: list[str]) -> list[list[str]]:
+        """For each text, ids as decimal texts joined by commas, one for each cut or added token."""
+        added = self.vocabulary.added
+        parts = [self.vocabulary.added_pattern.split(text) for text in texts]
+        cuts = [[CUTS.findall(part) if part not in added else part for part in listed] for listed in parts]
+        met = set().union(*(part for listed in cuts for part in listed if isinstance(part, list)))
+        self.learn(sorted(met.difference(self.codes)))
+        if not met <= self.codes.keys():  # some were among those forgotten
+            self.learn(sorted(met.difference(self.codes)))
+        code = self.codes.__getitem__
+        out = []
+        for listed in cuts:
+            codes: list[str] = []
+            for part in listed:
+                codes += map(code, part) if isinstance(part, list) else [str(added[part])]
+            out.append(codes)
+        return out
 
     def encode(self, text: str) -> list[str]:
-        """Ids as decimal texts joined by commas, one for each cut or added token."""
-        out: list[str] = []
-        codes, added = self.codes, self.vocabulary.added
-        for part in self.vocabulary.added_pattern.split(text):
-            if part in added:
-                out.append(str(added[part]))
-                continue
-            for cut in CUTS.findall(part):
-                code = codes.get(cut)
-                if code is None:
-                    code = self._code(cut)
-                    codes = self.codes
-                out.append(code)
-        return out
+        return self.encode_all([text])[0]
 
     def decode(self, codes: list[str]) -> bytes:
         out = []
@@ -285,16 +365,22 @@ class Codec:
         return b"".join(out)
 
 
-def frequent_words(docs: DataFrame, text: str = "text", limit: int = LEXICON_WORDS) -> list[str]:
-    """The corpus' most frequent words, ties in order of the word; counts cover all texts."""
-    words = docs.select(F.explode(words_of(F.col(text))).alias("word"))
-    counted = words.where(F.octet_length("word") <= 64).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(limit).collect()]
+def frequent_words(docs: DataFrame, text: str = "text", share: float = LEXICON_SHARE) -> list[str]:
+    """Words that occur more than ``share`` times per byte of the corpus, counted over all texts.
+
+    There cannot be more than 1 / (2 share) of them, whatever the corpus, because
+    each occurrence takes a byte and a space.
+    """
+    size = docs.agg(F.sum(F.octet_length(F.col(text)) + 1).alias("n")).first()["n"] or 0
+    words = docs.select(F.explode(words_of(F.col(text))).alias("word")).where(F.octet_length("word") <= 64)
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > size * share)
+    return sorted(r["word"] for r in counted.select("word").collect())
 
 
 def lexicon_of(words: list[str], vocabulary: Vocabulary) -> bytes:
     tokens = {t for word in words for form in (word, " " + word) for t in PRE_TOKENS.findall(form)}
-    return compile_lexicon({t.encode(): vocabulary.merge(t.encode()) for t in tokens})
+    coded = [t.encode() for t in sorted(tokens)]
+    return compile_lexicon(dict(zip(coded, vocabulary.merge_all(coded))))
 
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -322,7 +408,7 @@ def _coded(docs: DataFrame, path: str, doc_id: str, text: str, columns: str, for
     """Lexicon from the whole corpus, then one pass over the texts without a shuffle."""
     vocabulary = Vocabulary(path)
     block = lexicon_of(frequent_words(docs, text), vocabulary)
-    # Both have a fixed size: the tokenizer's vocabulary and LEXICON_WORDS words of 64 bytes.
+    # Both have a fixed size: the tokenizer's vocabulary and 1 / (2 LEXICON_SHARE) words of 64 bytes.
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, block))
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = whole.schema["doc_id"].dataType.simpleString()
@@ -333,8 +419,8 @@ def _coded(docs: DataFrame, path: str, doc_id: str, text: str, columns: str, for
         codec = Codec(*shared.value)
         for batch in small_batches(batches, "text"):
             counts, left, right = [], [], []
-            for row in batch.column("text").to_pylist():
-                codes = codec.encode(row or "")
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            for codes in codec.encode_all(texts):
                 counts.append(sum(code.count(",") + 1 for code in codes))
                 a, b = form(codes, codec.decode(codes))
                 left.append(a)
