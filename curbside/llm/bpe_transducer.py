@@ -324,9 +324,6 @@ class Codec:
 
     def learn(self, cuts: list[str]) -> None:
         """Remember the codes of cuts not met before."""
-        if len(self.codes) + len(cuts) > KEPT_CUTS:  # forget the older half
-            self.codes = dict(islice(self.codes.items(), len(self.codes) // 2, None))
-            self.texts = {}
         tokens = [PRE_TOKENS.findall(cut) for cut in cuts]
         distinct = list(dict.fromkeys(t for listed in tokens for t in listed))
         ids = self.ids_of([t.encode() for t in distinct])
@@ -339,9 +336,10 @@ class Codec:
         parts = [self.vocabulary.added_pattern.split(text) for text in texts]
         cuts = [[CUTS.findall(part) if part not in added else part for part in listed] for listed in parts]
         met = set().union(*(part for listed in cuts for part in listed if isinstance(part, list)))
+        if len(self.codes) > KEPT_CUTS:  # forget the older half, before this batch's are looked up
+            self.codes = dict(islice(self.codes.items(), len(self.codes) // 2, None))
+            self.texts = {}
         self.learn(sorted(met.difference(self.codes)))
-        if not met <= self.codes.keys():  # some were among those forgotten
-            self.learn(sorted(met.difference(self.codes)))
         code = self.codes.__getitem__
         out = []
         for listed in cuts:
