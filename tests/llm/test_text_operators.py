@@ -274,6 +274,6 @@ def test_encoded_documents(make_docs, odd_rows):
         assert r["ids"] == library.encode(r["decoded"], add_special_tokens=False).ids
         assert r["n_tokens"] == len(r["ids"])
     assert bpe.encode_digests(docs.limit(0), BPE_FILE).count() == 0
-    assert bpe.frequent_words(docs) == ["and", "of", "the", "to"]
-    assert "one" in bpe.frequent_words(docs, share=1e-7)
+    assert bpe.frequent_words(docs, share=1e-3) == ["and", "of", "the", "to"]
+    assert "seven" in bpe.frequent_words(docs)
     assert bpe.frequent_words(docs.limit(0)) == []
