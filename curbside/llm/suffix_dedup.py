@@ -9,7 +9,9 @@ earlier in the corpus. Only suffixes that can match are sorted:
    once take no further part.
 2. An anchor's surroundings are all bytes a window around it can reach. Where
    an earlier occurrence has equal surroundings (128 bits name them), all of them
-   go without any sorting. The first occurrence of each is kept as a row.
+   go without any sorting. The first occurrence of each is kept as a row, if the
+   32 bytes before or after its anchor may be another's too (16 bits tell): every
+   window around an anchor holds one of the two.
 3. Anchors with several different surroundings are the suffix buckets. Tasks take
    a bounded number of rows at a time and sort, for each start in turn, the
    suffixes of all rows that start there. Suffixes are compared by the few bytes
@@ -47,7 +49,7 @@ STARTS = BEFORE + 1
 # Bytes of text, and rows of surroundings, that a task works on at a time.
 BLOCK_BYTES = 2 << 20
 BLOCK_ROWS = 8_192
-BUCKET_ROWS = 4_096
+BUCKET_ROWS = 65_536
 # Runs to remove are sent to all tasks up to this size, else joined by document.
 RUNS_BYTES = 64 << 20
 
@@ -130,6 +132,16 @@ def _names(rows: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarra
     return _mix(out)
 
 
+def _marks(rows: np.ndarray) -> np.ndarray:
+    """16 bits of the ``GRAM`` bytes before the anchor, then 16 of those after it."""
+
+    def bits(start: int) -> np.ndarray:
+        words = np.ascontiguousarray(rows[:, start : start + GRAM]).view(np.uint64)
+        return _mix((words * _WORD[: words.shape[1]]).sum(1, dtype=np.uint64)) >> np.uint64(48)
+
+    return (bits(BEFORE - GRAM) << np.uint64(16) | bits(BEFORE + GRAM)).astype(np.int64)
+
+
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, int]]:
     """(bytes, ends, ids, shifts, from, to): whole texts together, or a part of a long one.
 
@@ -157,7 +169,7 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _anchors(texts: DataFrame, named: bool) -> DataFrame:
-    """Rows (anchor, name, doc, place, before, after); without ``named``, (anchor, several) by block."""
+    """Rows (anchor, name, doc, place, marks, before, after); without ``named``, (anchor, several) by block."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", BLOCK_BYTES):
@@ -170,16 +182,16 @@ def _anchors(texts: DataFrame, named: bool) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(times > 1)], names=["anchor", "several"])
                     continue
                 rows, text, before, after = _surroundings(data, ends, places)
-                columns = [grams, _names(rows, before, after).view(np.int64), ids[text], places - ends[text] + shifts[text], before, after]
+                columns = [grams, _names(rows, before, after).view(np.int64), ids[text], places - ends[text] + shifts[text], _marks(rows), before, after]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.astype(np.int64 if i < 4 else np.int16)) for i, c in enumerate(columns)],
-                    names=["anchor", "name", "doc", "place", "before", "after"],
+                    [pa.array(c.astype(np.int64 if i < 5 else np.int16)) for i, c in enumerate(columns)],
+                    names=["anchor", "name", "doc", "place", "marks", "before", "after"],
                 )
 
     sound = texts.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
     if not named:
         return sound.mapInArrow(found, "anchor long, several boolean")
-    return sound.mapInArrow(found, "anchor long, name long, doc long, place long, before short, after short")
+    return sound.mapInArrow(found, "anchor long, name long, doc long, place long, marks long, before short, after short")
 
 
 def suffix_matches(rows: np.ndarray, bucket: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -261,8 +273,7 @@ def _border_rows(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     names=["anchor", "part", "parts", "doc", "place", "before", "after", "bytes"],
                 )
 
-    # One text per id: repeated rows are one document.
-    held = lookup_join(texts, listed, ["doc_id"], limit=RUNS_BYTES)
+    held = lookup_join(texts, staged(listed, "suffix-places"), ["doc_id"], limit=RUNS_BYTES)
     return held.mapInArrow(
         cut, "anchor long, part int, parts int, doc long, place long, before short, after short, bytes binary"
     )
@@ -374,21 +385,25 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     occurrences = staged(_anchors(texts, named=True).join(shared, "anchor"), "suffix-anchors")
 
     first = occurrences.groupBy("anchor", "name").agg(
-        F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("times")
+        F.min(F.struct("doc", "place", "marks")).alias("first"), F.count(F.lit(1)).alias("times")
     )
     first = staged(first, "suffix-surroundings")
+    same_place = (F.col("doc") == F.col("first.doc")) & (F.col("place") == F.col("first.place"))
     again = occurrences.join(first.where("times > 1").drop("times"), ["anchor", "name"])
-    inner = again.where(F.struct("doc", "place") != F.col("first")).select(
+    inner = again.where(~same_place).select(
         "doc", (F.col("place") - F.col("before")).alias("low"), (F.col("place") + F.col("after")).alias("high")
     )
 
-    sizes = first.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("parts"), F.count(F.lit(1)).alias("n"))
+    rows = first.select("anchor", "first.doc", "first.place", "first.marks")
+    partnered = []
+    for mark in (F.shiftright("marks", 16), F.col("marks").bitwiseAND(0xFFFF)):
+        marked = rows.withColumn("mark", mark)
+        several = marked.groupBy("anchor", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        partnered.append(marked.join(several, ["anchor", "mark"], "left_semi").drop("mark", "marks"))
+    wanted = staged(partnered[0].unionByName(partnered[1]).distinct(), "suffix-borders")
+    sizes = wanted.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("doc", "place"), F.col("parts")).cast("int")
-    wanted = (
-        first.join(sizes.where("n > 1").drop("n"), "anchor")
-        .select("anchor", "first.doc", "first.place", "parts")
-        .withColumn("part", part)
-    )
+    wanted = wanted.join(sizes, "anchor").withColumn("part", part)
     matched = staged(_sorted_buckets(_border_rows(texts, wanted)), "suffix-matches")
     border = matched.where("high IS NOT NULL").select("doc", "low", "high")
     across = _across_parts(matched.where("high IS NULL").drop("high"))
