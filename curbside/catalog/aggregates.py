@@ -6,8 +6,16 @@ from pyspark.sql import functions as F
 
 from curbside.catalog import steps, views
 from curbside.catalog.registry import query
-from curbside.constants import DROPOFF, PICKUP
-from curbside.models.duration import apply_line, univariate_line
+from curbside.constants import DROPOFF, PICKUP, QUANTILE_RELATIVE_ERROR
+from curbside.models.duration import (
+    apply_line,
+    borough_lines,
+    fitted_lines,
+    linear_regression,
+    predict_on,
+    stump,
+    univariate_line,
+)
 from curbside.operators import holidays, joins, outliers, quality, sampling, stats
 from curbside.operators.quantiles import approx_quantiles, exact_quantiles
 from curbside.sources import schema
@@ -72,6 +80,18 @@ def _predictions(spark, sf, *features):
     return [apply_line(test, univariate_line(train, name), name) for name in features]
 
 
+# The cut of hours with the least squared error on both sides, and the means beside it:
+# a tree of depth one.
+STUMP_SQL = """(select cut, low, high from (
+    select cut, avg(trip_duration) filter (where hour <= cut) as low,
+      avg(trip_duration) filter (where hour > cut) as high,
+      var_pop(trip_duration) filter (where hour <= cut) * count(*) filter (where hour <= cut)
+        + var_pop(trip_duration) filter (where hour > cut) * count(*) filter (where hour > cut) as error
+    from train cross join (select distinct hour as cut from train) group by cut
+    having count(*) filter (where hour > cut) > 0)
+  order by error, cut limit 1)"""
+
+
 @query(
     "hourly_pred_vs_actual",
     f"""select day, hour, round(avg_actual_speed, 6) as avg_actual_speed,
@@ -80,16 +100,30 @@ def _predictions(spark, sf, *features):
        from (select day, hour, avg(speed) as avg_actual_speed,
                avg(predicted_speed) as avg_linear_speed
              from {_predicted_sql("trip_distance")} group by day, hour)
-       full join (select day, hour, avg(predicted_speed) as avg_forest_speed
-             from {_predicted_sql("visibility")} group by day, hour) using (day, hour)""",
+       full join (select day, hour, avg(trip_distance / (if(hour <= cut, low, high) / 60))
+               as avg_forest_speed
+             from test cross join {STUMP_SQL} group by day, hour) using (day, hour)""",
 )
 def hourly_pred_vs_actual(spark, sf):
-    # Two univariate lines stand in for the two models, so that SQL can follow.
-    first, second = _predictions(spark, sf, "trip_distance", "visibility")
-    table = stats.compare_hourly(first, second, keys=("day",))
+    """A fitted linear regression beside a fitted forest, both small enough for SQL to follow."""
+    train, test = steps.stored_split(spark, sf)
+    linear = predict_on(train, test, ["trip_distance"], linear_regression("features"))
+    forest = predict_on(train, test, ["hour"], stump())
+    table = stats.compare_hourly(linear, forest, keys=("day",))
     return rounded(table, "avg_actual_speed", "avg_linear_speed", "avg_forest_speed")
 
 
+@query(
+    "rf_stump",
+    f"""select distinct hour, round(if(hour <= cut, low, high), 6) as prediction
+       from test cross join {STUMP_SQL}""",
+)
+def rf_stump(spark, sf):
+    train, test = steps.stored_split(spark, sf)
+    predicted = predict_on(train, test, ["hour"], stump()).select("hour", "prediction").distinct()
+    return rounded(predicted, "prediction")
+
+
 @query(
     "hourly_speed",
     f"""select hour, round(avg(speed), 6) as avg_actual_speed,
@@ -120,7 +154,40 @@ def mae(spark, sf):
 )
 def linreg_univariate(spark, sf):
     train, _ = steps.split(steps.merged(spark, sf))
-    return rounded(univariate_line(train), "slope", "intercept")
+    line = fitted_lines(train, ["trip_distance"]).withColumnRenamed("trip_distance", "slope")
+    return rounded(line.select("slope", "intercept", "n"), "slope", "intercept")
+
+
+@query(
+    "linreg_one_column",
+    """select Borough, round(regr_slope(trip_duration, trip_distance), 6) as trip_distance,
+         round(regr_intercept(trip_duration, trip_distance), 6) as intercept, count(*) as n
+       from train group by Borough""",
+)
+def linreg_one_column(spark, sf):
+    train, _ = steps.stored_split(spark, sf)
+    lines = borough_lines(train, ["trip_distance"], views.boroughs(spark, sf))
+    return rounded(lines, "trip_distance", "intercept")
+
+
+@query(
+    "linreg_two_columns",
+    """select Borough, round(b1, 6) as trip_distance, round(b2, 6) as temp,
+         round(my - b1 * m1 - b2 * m2, 6) as intercept, n
+       from (select *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) as b1,
+               (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) as b2
+             from (select Borough, count(*) as n, avg(trip_duration) as my,
+                     avg(trip_distance) as m1, avg(temp) as m2,
+                     var_pop(trip_distance) as s11, var_pop(temp) as s22,
+                     covar_pop(trip_distance, temp) as s12,
+                     covar_pop(trip_distance, trip_duration) as s1y,
+                     covar_pop(temp, trip_duration) as s2y
+                   from train group by Borough))""",
+)
+def linreg_two_columns(spark, sf):
+    train, _ = steps.stored_split(spark, sf)
+    lines = borough_lines(train, ["trip_distance", "temp"], views.boroughs(spark, sf))
+    return rounded(lines, "trip_distance", "temp", "intercept")
 
 
 # --- quality -----------------------------------------------------------------
@@ -241,10 +308,8 @@ def speed_quartiles(spark, sf):
 
 @query("speed_quartiles_narrowed", QUARTILE_SQL.format(source="quartiles"))
 def speed_quartiles_narrowed(spark, sf):
-    """The passes a large input takes, whatever the size of this one."""
-    found = exact_quantiles(
-        steps.cleaned(spark, sf), "speed", [0.25, 0.75], one_pass_limit=0, ranked_rows=100
-    )
+    """A coarse sketch, which leaves many values around each rank even here."""
+    found = exact_quantiles(steps.cleaned(spark, sf), "speed", [0.25, 0.75], accuracy=20)
     return rounded(found, "quantile")
 
 
@@ -259,15 +324,35 @@ def speed_quartiles_narrowed(spark, sf):
 )
 def value_quartiles_by_type(spark, sf):
     values = views.events(spark, sf).select("event_type", "value")
-    found = exact_quantiles(
-        values, "value", [0.25, 0.75], ["event_type"], one_pass_limit=0, ranked_rows=100
-    )
+    found = exact_quantiles(values, "value", [0.25, 0.75], ["event_type"])
     return rounded(found, "quantile")
 
 
-@query("speed_quartiles_approx")
+@query(
+    "speed_quartiles_approx",
+    """select p as probability, count(*) as n, true as within_error
+       from cleaned cross join (values (0.25::double), (0.75::double)) as t(p) group by p""",
+)
 def speed_quartiles_approx(spark, sf):
-    return approx_quantiles(steps.cleaned(spark, sf), "speed", [0.25, 0.75])
+    """Whether the ranks that each approximate quantile takes up reach its own within the error."""
+    speeds = steps.cleaned(spark, sf)
+    found = approx_quantiles(speeds, "speed", [0.25, 0.75])
+    below = F.count_if(F.col("speed") < F.col("quantile"))
+    up_to = F.count_if(F.col("speed") <= F.col("quantile"))
+    slack = F.lit(QUANTILE_RELATIVE_ERROR) * F.col("n") + 1
+    wanted = F.col("probability") * F.col("n")
+    # Found quantiles are two rows.
+    return (
+        speeds.select("speed")
+        .crossJoin(F.broadcast(found))
+        .groupBy("probability", "n")
+        .agg(below.alias("below"), up_to.alias("up_to"))
+        .select(
+            "probability",
+            "n",
+            ((F.col("below") - slack <= wanted) & (wanted <= F.col("up_to") + slack)).alias("within_error"),
+        )
+    )
 
 
 BOUNDS_SQL = """select '{c}' as measure, n, round(q1, 6) as q1, round(q3, 6) as q3,
@@ -383,15 +468,24 @@ def density_histogram(spark, sf):
 
 @query(
     "kde_curve",
-    """select point, round(x, 6) as x, round(sum(w * exp(-0.5 * ((x - v) / h) * ((x - v) / h)) / sqrt(2 * pi()))
-         / (any_value(n) * any_value(h)), 6) as density
-       from (select trip_duration as v, count(*) as w from cleaned group by 1)
+    """select * from (with marks as (
+         select min(trip_duration) as lo, max(trip_duration) as hi, count(*) as n,
+           stddev_samp(trip_duration) * count(*) ** -0.2 as h from cleaned),
+       placed as (
+         select (trip_duration - lo) / (hi - lo) * 1023 as place from cleaned cross join marks),
+       cells as (
+         select cell, sum(w) as w from (
+           select cast(floor(place) as int) as cell, 1 - (place - floor(place)) as w from placed
+           union all select cast(floor(place) as int) + 1, place - floor(place) from placed)
+         where w > 0 group by cell)
+       select point, round(x, 6) as x,
+         round(sum(w * exp(-0.5 * ((x - v) / h) * ((x - v) / h)) / sqrt(2 * pi()))
+           / (any_value(n) * any_value(h)), 6) as density
+       from (select lo + cell * (hi - lo) / 1023 as v, w from cells cross join marks)
        cross join (
          select cast(range as int) as point, lo + range * (hi - lo) / 199 as x, n, h
-         from range(200) cross join (
-           select min(trip_duration) as lo, max(trip_duration) as hi, count(*) as n,
-             stddev_samp(trip_duration) * count(*) ** -0.2 as h from cleaned))
-       group by point, x""",
+         from range(200) cross join marks)
+       group by point, x)""",
 )
 def kde_curve(spark, sf):
     return rounded(stats.kde_curve(steps.cleaned(spark, sf), "trip_duration"), "x", "density")
@@ -403,7 +497,8 @@ def kde_curve(spark, sf):
 @query(
     "sample_hash",
     """select event_id, speed from cleaned
-       where substr(md5(concat(event_id, ':42')), 1, 7) < '0cccccd'""",
+       where cast('0x' || substr(md5(concat(event_id, ':42')), 1, 15) as bigint)
+         < 57646075230342352""",
 )
 def sample_hash(spark, sf):
     drawn = sampling.sample_by_hash(steps.cleaned(spark, sf), "event_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from curbside.catalog import steps
+from curbside.catalog import steps, views
 from curbside.catalog.aggregates import rounded
 from curbside.catalog.registry import query
 from curbside.constants import CATEGORICAL_FEATURES
@@ -133,29 +133,43 @@ def predict(spark, sf):
     return scored.select("event_id", "trip_duration", "prediction", "predicted_speed")
 
 
-def _boroughs(spark, sf) -> list[str]:
-    # The region table is the fixed list of boroughs here, one row each.
-    return [row["r_name"] for row in spark.read.parquet(f"{sf}/region.parquet").sort("r_name").collect()]
-
-
 @query("linreg_borough")
 def linreg_borough(spark, sf):
     train, test = steps.stored_split(spark, sf)
     models = {"linear": duration.linear_regression()}
-    return duration.borough_predictions(train, test, _boroughs(spark, sf), models)
+    return duration.borough_predictions(train, test, views.boroughs(spark, sf), models)
 
 
 @query("rf_borough")
 def rf_borough(spark, sf):
     train, test = steps.stored_split(spark, sf)
     models = {"forest": duration.random_forest()}
-    return duration.borough_predictions(train, test, _boroughs(spark, sf), models)
+    return duration.borough_predictions(train, test, views.boroughs(spark, sf), models)
 
 
 @query("borough_models")
 def borough_models(spark, sf):
     train, test = steps.stored_split(spark, sf)
-    return duration.borough_scores(train, test, _boroughs(spark, sf))
+    return duration.borough_scores(train, test, views.boroughs(spark, sf))
+
+
+@query(
+    "borough_model_status",
+    """select r_name as Borough, model, coalesce(train_rows, 0) as train_rows,
+         coalesce(test_rows, 0) as test_rows,
+         case when coalesce(train_rows, 0) = 0 then 'no training rows'
+           when coalesce(test_rows, 0) = 0 then 'no test rows' else 'scored' end as status,
+         coalesce(train_rows, 0) > 0 and coalesce(test_rows, 0) > 0 as has_mae
+       from region cross join (values ('linear'), ('forest')) as m(model)
+       left join (select Borough, count(*) as train_rows from train group by 1) a on r_name = a.Borough
+       left join (select Borough, count(*) as test_rows from test group by 1) b on r_name = b.Borough""",
+)
+def borough_model_status(spark, sf):
+    """What the scores of all boroughs say beside the error, with a forest of few trees."""
+    train, test = steps.stored_split(spark, sf)
+    models = {"linear": duration.linear_regression(), "forest": duration.random_forest().setNumTrees(2)}
+    scores = duration.borough_scores(train, test, views.boroughs(spark, sf), models)
+    return scores.withColumn("has_mae", F.col("mae").isNotNull()).drop("mae")
 
 
 # --- flows -------------------------------------------------------------------

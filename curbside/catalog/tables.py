@@ -51,6 +51,16 @@ def scan_csv_weather(spark, sf):
     return tables.read_weather(spark, path)
 
 
+@query(
+    "scan_csv_zones",
+    "select LocationID, Borough, Zone, 'Boro Zone' as service_zone from zones",
+)
+def scan_csv_zones(spark, sf):
+    path = stage_path(spark, "zones-csv")
+    views.zones(spark, sf).write.csv(path, header=True)
+    return tables.read_zones(spark, path)
+
+
 @query(
     "write_roundtrip",
     """select event_id, tpep_pickup_datetime, trip_distance, trip_duration, speed from cleaned""",

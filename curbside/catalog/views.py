@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from curbside.constants import DROPOFF, PICKUP, WEATHER_COLUMN_TYPES
+from curbside.constants import DROPOFF, HOLIDAYS, PICKUP, WEATHER_COLUMN_TYPES
 from curbside.functions.calendar import hour_slot
 from curbside.operators.holidays import calendar_table
 from curbside.sources.schema import struct_of
@@ -33,7 +33,8 @@ EVENTS = struct_of(
 )
 NATION = struct_of({"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"})
 REGION = struct_of({"r_regionkey": "int", "r_name": "string"})
-CALENDAR = {"2024-01-01": 4, "2024-01-02": 3, "2024-01-15": 4}
+# Holidays of the test set inside the events' month.
+CALENDAR = {day: scale for day, scale in HOLIDAYS["test"].items() if day < "2024-02-01"}
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,6 +95,12 @@ def zones(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def boroughs(spark: SparkSession, sf: str) -> list[str]:
+    """The region table is the fixed list of boroughs here, one row each."""
+    region = spark.read.schema(REGION).parquet(f"{sf}/region.parquet")
+    return [row["r_name"] for row in region.sort("r_name").collect()]
+
+
 def weather(spark: SparkSession, sf: str) -> DataFrame:
     """One row per hour that has events; some measures are NULL in some hours."""
     kind, value = F.col("event_type"), F.col("value")
@@ -121,7 +128,8 @@ def calendar(spark: SparkSession) -> DataFrame:
 
 
 # The oracle's side of the views above and of the tables most queries start from.
-SQL = """
+CALENDAR_SQL = ", ".join(f"(date '{day}', {scale})" for day, scale in CALENDAR.items())
+SQL = f"""
 trips as (
   select event_id, ts as tpep_pickup_datetime,
     ts + to_seconds(cast(round(value * 60) as bigint)) as tpep_dropoff_datetime,
@@ -159,8 +167,7 @@ weather as (
     case when count(*) filter (where event_type = 'purchase') > 0
       then 'Rain, Overcast' else 'Clear' end as conditions
   from events group by 1),
-calendar(date, scale) as (
-  values (date '2024-01-01', 4), (date '2024-01-02', 3), (date '2024-01-15', 4)),
+calendar(date, scale) as (values {CALENDAR_SQL}),
 timed as (
   select *, (epoch_us(tpep_dropoff_datetime) // 1000000 - epoch_us(tpep_pickup_datetime) // 1000000)
     / 60 as trip_duration

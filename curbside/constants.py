@@ -87,6 +87,8 @@ MIN_TRIPS_PER_DAY = 4
 TOP_OUTLIERS = 20
 HISTOGRAM_BINS = 30
 DENSITY_GRID = 200
+# Cells into which values are put before the kernel density is evaluated.
+DENSITY_CELLS = 1_024
 
 # Boroughs that get their own models, and the one left out by name.
 MODEL_BOROUGHS = ["Queens", "EWR", "Bronx", "Brooklyn", "Manhattan", "Staten Island"]

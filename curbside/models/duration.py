@@ -8,6 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.base import Estimator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,15 +19,8 @@ from curbside.operators.stats import mean_absolute_error
 
 # Boroughs fitted at the same time; each fit is itself a distributed job.
 PARALLEL_FITS = 6
-PREDICTION_COLUMNS = [
-    "day",
-    "hour",
-    "trip_distance",
-    LABEL,
-    "speed",
-    "prediction",
-    "predicted_speed",
-]
+SCORED_COLUMNS = ["day", "hour", "trip_distance", LABEL, "speed"]
+PREDICTION_COLUMNS = [*SCORED_COLUMNS, "prediction", "predicted_speed"]
 
 
 def linear_regression(features: str = SCALED) -> LinearRegression:
@@ -48,6 +42,58 @@ def predict(train: DataFrame, test: DataFrame, estimator: Estimator) -> DataFram
     return scored.withColumn("predicted_speed", predicted_speed_mph())
 
 
+def predict_on(
+    train: DataFrame, test: DataFrame, columns: list[str], estimator: Estimator
+) -> DataFrame:
+    """The same on numeric columns as they are, put together as ``features``."""
+    rows = VectorAssembler(inputCols=columns, outputCol="features")
+    return predict(rows.transform(train), rows.transform(test), estimator).drop("features")
+
+
+def stump() -> RandomForestRegressor:
+    """The smallest forest: one tree, one cut, all rows."""
+    return RandomForestRegressor(
+        featuresCol="features",
+        labelCol=LABEL,
+        numTrees=1,
+        maxDepth=1,
+        bootstrap=False,
+        featureSubsetStrategy="all",
+    )
+
+
+def _line(trips: DataFrame, columns: list[str]) -> tuple:
+    rows = VectorAssembler(inputCols=columns, outputCol="features").transform(trips)
+    fitted = linear_regression("features").fit(rows)
+    return (*map(float, fitted.coefficients), fitted.intercept, int(fitted.summary.numInstances))
+
+
+def _line_schema(columns: list[str]) -> str:
+    return ", ".join(f"{name} double" for name in columns) + ", intercept double, n bigint"
+
+
+def fitted_lines(trips: DataFrame, columns: list[str]) -> DataFrame:
+    """Linear regression on numeric columns: one row of coefficients, intercept and rows."""
+    return trips.sparkSession.createDataFrame([_line(trips, columns)], _line_schema(columns))
+
+
+def borough_lines(
+    train: DataFrame, columns: list[str], boroughs: Iterable[str], parallelism: int = PARALLEL_FITS
+) -> DataFrame:
+    """The same for every borough that has rows, several at a time; one row per borough."""
+    spark = train.sparkSession
+    boroughs = list(boroughs)
+    sizes = borough_sizes(train, train.limit(0), boroughs)
+    usable = [name for name in boroughs if sizes[name][0] > 0]
+
+    def fitted(borough: str) -> tuple:
+        return (borough, *_line(train.where(F.col("Borough") == borough), columns))
+
+    with ThreadPool(max(1, min(parallelism, len(usable)))) as pool:
+        rows = pool.map(inheritable_thread_target(spark)(fitted), usable)
+    return spark.createDataFrame(rows, f"Borough string, {_line_schema(columns)}")
+
+
 def univariate_line(trips: DataFrame, feature: str = "trip_distance") -> DataFrame:
     """Least-squares line of duration on one column: one row (slope, intercept, n)."""
     pair = (F.col(LABEL), F.col(feature))
@@ -103,15 +149,27 @@ def borough_predictions(
     boroughs = list(boroughs)
     sizes = borough_sizes(train, test, boroughs) if sizes is None else sizes
 
-    def fitted(borough: str) -> list[DataFrame]:
+    def fitted(borough: str) -> DataFrame:
         chosen = F.col("Borough") == borough
         fit_rows, score_rows, _ = prepare_features(train.where(chosen), test.where(chosen))
-        return [
-            predict(fit_rows, score_rows, estimator).select(
-                F.lit(borough).alias("Borough"), F.lit(name).alias("model"), *PREDICTION_COLUMNS
-            )
-            for name, estimator in models.items()
+        # Both fits read the prepared rows, which are indexed and encoded once.
+        fit_rows = fit_rows.select(SCALED, LABEL).persist()
+        try:
+            fits = [estimator.fit(fit_rows) for estimator in models.values()]
+        finally:
+            fit_rows.unpersist()
+        # Every model scores in the same pass; rows are then listed by model.
+        for number, model in enumerate(fits):
+            score_rows = model.setPredictionCol(f"_prediction_{number}").transform(score_rows)
+        listed = [
+            F.struct(F.lit(name).alias("model"), F.col(f"_prediction_{number}").alias("prediction"))
+            for number, name in enumerate(models)
         ]
+        return (
+            score_rows.select(F.lit(borough).alias("Borough"), *SCORED_COLUMNS, F.inline(F.array(*listed)))
+            .withColumn("predicted_speed", predicted_speed_mph())
+            .select("Borough", "model", *PREDICTION_COLUMNS)
+        )
 
     usable = [borough for borough in boroughs if sizes[borough][0] > 0]
     if not usable:
@@ -120,7 +178,7 @@ def borough_predictions(
         return blank.select("Borough", "model", *PREDICTION_COLUMNS)
     with ThreadPool(min(parallelism, len(usable))) as pool:
         task = inheritable_thread_target(train.sparkSession)(fitted)
-        parts = [part for listed in pool.map(task, usable) for part in listed]
+        parts = pool.map(task, usable)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -55,13 +55,6 @@ def filter_distance(trips: DataFrame, miles: tuple[float, float] = DISTANCE_RANG
     return trips.where(F.col("trip_distance").between(*miles))
 
 
-def filter_plausible(
-    trips: DataFrame, set_name: str, zone_range: tuple[int, int] = ZONE_RANGE
-) -> DataFrame:
-    """Window, zone and distance rules of one set together."""
-    return filter_distance(filter_zones(filter_set_window(trips, set_name), zone_range))
-
-
 def add_duration(trips: DataFrame) -> DataFrame:
     return trips.withColumn("trip_duration", duration_minutes())
 

@@ -2,37 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    MapType,
+    StringType,
+    StructType,
+    UserDefinedType,
+)
 
 from curbside.constants import PICKUP
 from curbside.functions.calendar import calendar_date, day_text, hour_of_day, hour_slot
-from curbside.workspace import staged
 
-# A planner estimate this small is taken at its word; a larger one is measured.
-ESTIMATE_LIMIT_BYTES = 16 << 20
-BROADCAST_LIMIT_BYTES = 256 << 20
-SALTS = 64
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; file sizes for scans. Runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+# Sizes are of rows as they lie in memory, not of compressed files.
+BROADCAST_LIMIT_BYTES = 128 << 20
+# Fixed value: bytes counted for a number, and for a text's or list's head.
+CELL_BYTES = 16
+
+
+def _bytes_of(value: Column, kind: DataType) -> Column:
+    """Bytes of a value, the lengths of texts and nested values included."""
+    head = F.lit(CELL_BYTES).cast("long")
+    if isinstance(kind, (StringType, BinaryType)):
+        inner = F.octet_length(value).cast("long")
+    elif isinstance(kind, ArrayType):
+        inner = F.aggregate(
+            value, F.lit(0).cast("long"), lambda total, x: total + _bytes_of(x, kind.elementType)
+        )
+    elif isinstance(kind, MapType):
+        pairs = ArrayType(kind.keyType), ArrayType(kind.valueType)
+        inner = _bytes_of(F.map_keys(value), pairs[0]) + _bytes_of(F.map_values(value), pairs[1])
+    elif isinstance(kind, StructType):
+        inner = sum((_bytes_of(value[f.name], f.dataType) for f in kind.fields), F.lit(0).cast("long"))
+    elif isinstance(kind, UserDefinedType):  # say, a vector: its text is no shorter than its cells
+        inner = F.octet_length(F.to_json(F.struct(value.alias("v")))).cast("long")
+    else:
+        return head
+    return head + F.coalesce(inner, F.lit(0))
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Row count times fixed column widths, plus the actual length of texts."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    length = sum(
-        (F.coalesce(F.octet_length(F.col(f"`{name}`")).cast("long"), F.lit(0)) for name in texts),
-        F.lit(16 * len(df.columns)).cast("long"),
-    )
-    return df.agg(F.coalesce(F.sum(length), F.lit(0)).alias("bytes")).first()["bytes"]
+    """What the rows take in memory, by a scan of ``df``."""
+    cells = [_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    size = F.coalesce(F.sum(sum(cells, F.lit(0).cast("long"))), F.lit(0))
+    return df.agg(size.alias("bytes")).first()["bytes"]
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    if planned_bytes(df) <= min(ESTIMATE_LIMIT_BYTES, limit):
-        return True
     return measured_bytes(df) <= limit
 
 
@@ -46,30 +64,22 @@ def lookup_join(
 ) -> DataFrame:
     """Equi-join of a large table to a lookup (``inner``, ``left`` or ``left_semi``).
 
-    A lookup of checked size is broadcast and the facts are not shuffled. One
-    the planner does not know to be small is staged first, so that a lookup
-    derived from the facts is computed once and its size known. One above the
-    limit is shuffle-joined with every key spread over ``SALTS`` parts, so that
-    a key holding a third of the facts is not one task's work. With
-    ``null_safe``, NULL keys match each other.
+    The lookup is always measured, which scans it once; stage one that is dear to
+    compute. Up to the limit it is broadcast and the facts are not shuffled. Above,
+    both sides are shuffled, and adaptive execution splits the facts of a key
+    that holds many of them over tasks. With ``null_safe``, NULL keys match each
+    other.
     """
-    if planned_bytes(lookup) > ESTIMATE_LIMIT_BYTES:
-        lookup = staged(lookup, "lookup")
     renamed = {key: f"_lookup_{key}" for key in keys}
     if fits_broadcast(lookup, limit):
         lookup = F.broadcast(lookup.withColumnsRenamed(renamed))
     else:
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns]), F.lit(SALTS))
-        facts = facts.withColumn("_salt", salt)
-        salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-        lookup = lookup.withColumn("_salt", F.explode(salts))
-        renamed["_salt"] = "_lookup__salt"
         lookup = lookup.withColumnsRenamed(renamed).hint("merge")
     same = [
         F.col(key).eqNullSafe(F.col(other)) if null_safe else F.col(key) == F.col(other)
         for key, other in renamed.items()
     ]
-    return facts.join(lookup, same, how).drop("_salt", *renamed.values())
+    return facts.join(lookup, same, how).drop(*renamed.values())
 
 
 def join_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:

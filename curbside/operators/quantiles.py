@@ -1,36 +1,20 @@
 """Quantiles of a numeric column, exact or approximate, whole or by group.
 
-Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. That is fine for a small input and impossible for a large
-one, so ``exact_quantiles`` takes it only below a checked size. Above it, the
-range of values around each wanted rank is narrowed pass by pass:
-
-- the first range of a group is its minimum to its maximum;
-- a pass cuts each range into ``CELLS`` equal widths, counts the rows of every
-  cell, and keeps the cell that holds the rank as the next range;
-- once every range has few rows or a single value, the values left are counted
-  per value and ranked.
-
-A cell number never decreases as the value grows, so the answer is exact. Each
-pass is a scan whose tasks send at most ``CELLS`` rows per range.
+``exact_quantiles`` takes two scans at every size. The first one's sketch gives,
+for each wanted rank, a value surely below and one surely above it. The second
+counts the rows below the lower value and, one by one, the values between the
+two, of which a sketch of accuracy A leaves about 4 n / A; the ranks are picked
+among those. Were a rank ever outside, the query would fail, not answer wrongly.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from curbside.constants import QUANTILE_RELATIVE_ERROR
-from curbside.functions.binning import equal_width_bin
-from curbside.operators.joins import lookup_join, planned_bytes
-from curbside.workspace import staged
 
-ONE_PASS_LIMIT_BYTES = 16 << 20
-CELLS = 4_096
-# Rows of one range that may be ranked by a single task.
-RANKED_ROWS = 1_000_000
-# Passes after which ranges are ranked whatever their rows; the ranking is exact
-# for any number of rows, its sort then spills.
-MAX_PASSES = 12
+# Accuracy of the sketch: at 10^11 rows some 4 million values are left around a rank.
+BRACKET_ACCURACY = 100_000
 
 
 def _values(df: DataFrame, column: str, by: list[str]) -> DataFrame:
@@ -50,7 +34,15 @@ def approx_quantiles(
     accuracy = max(1, round(1 / relative_error))
     wanted = F.percentile_approx("_x", [float(p) for p in probabilities], accuracy)
     table = _values(df, column, by).groupBy(*by).agg(F.count("_x").alias("n"), wanted.alias("q"))
-    return _one_row_per_probability(table, probabilities, by)
+    listed = [
+        F.struct(
+            F.lit(float(p)).alias("probability"),
+            F.col("n"),
+            F.get("q", F.lit(i)).alias("quantile"),
+        )
+        for i, p in enumerate(probabilities)
+    ]
+    return table.select(*by, F.inline(F.array(*listed)))
 
 
 def exact_quantiles(
@@ -58,160 +50,97 @@ def exact_quantiles(
     column: str,
     probabilities: list[float],
     by: list[str] | None = None,
-    one_pass_limit: int = ONE_PASS_LIMIT_BYTES,
-    ranked_rows: int = RANKED_ROWS,
+    accuracy: int = BRACKET_ACCURACY,
 ) -> DataFrame:
     """Rows (by…, probability, n, quantile), interpolated between neighbouring values.
 
-    Above ``one_pass_limit`` planned bytes the passes run at once, not when the
-    result is used, and their small results are kept in shared storage.
+    Lazy. An empty input gives one row per probability with n = 0 and a NULL
+    quantile, or no row when grouped.
     """
     by = by or []
-    rows = _values(df, column, by)
-    if planned_bytes(rows) > one_pass_limit:
-        return _narrowed(rows, probabilities, by, ranked_rows)
-    # Equal values are counted together by a hash aggregate, far cheaper per row than
-    # the ordered buffer of ``percentile``, which then sees distinct values only.
-    counted = rows.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("copies"))
-    wanted = F.percentile("_x", F.array(*[F.lit(float(p)) for p in probabilities]), F.col("copies"))
-    table = counted.groupBy(*by).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("n"), wanted.alias("q")
+    values = _values(df, column, by).withColumn("_w", F.lit(1).cast("long"))
+    brackets = _brackets(values, probabilities, by, accuracy)
+    if by:
+        same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in by]
+        brackets = brackets.withColumnsRenamed({name: f"_of_{name}" for name in by})
+        met = values.join(brackets, same)
+    else:
+        # A row of no weight stands for an empty input; the brackets are one row.
+        blank = df.sparkSession.range(1).select(
+            F.lit(None).cast("double").alias("_x"), F.lit(0).cast("long").alias("_w")
+        )
+        met = values.unionByName(blank).crossJoin(F.broadcast(brackets))
+    # Rows below a bracket count together as a NULL value, which sorts first.
+    placed = F.transform(
+        F.filter("_brackets", lambda b: F.col("_x").isNull() | (F.col("_x") <= b["high"])),
+        lambda b: F.struct(
+            b["at"].alias("_at"),
+            F.when(F.col("_x") >= b["low"], F.col("_x")).alias("_value"),
+        ),
+    )
+    counted = (
+        met.select(*by, "n", "_w", F.inline(placed))
+        .groupBy(*by, "n", "_at", "_value")
+        .agg(F.sum("_w").alias("_copies"))
     )
-    return _one_row_per_probability(table, probabilities, by)
+    listed = F.array(*[F.lit(float(p)) for p in probabilities])
+    place = F.get(listed, F.col("_at")) * (F.col("n") - 1)
+    ordered = Window.partitionBy(*by, "_at").orderBy("_value")
+    picked = counted.withColumn("_start", F.sum("_copies").over(ordered) - F.col("_copies"))
+    lower, upper = (F.max(F.when(_holds(rank), F.col("_value"))) for rank in (F.floor(place), F.ceil(place)))
+    found = picked.groupBy(*by, "_at").agg(
+        F.max("n").alias("n"), lower.alias("_lower"), upper.alias("_upper")
+    )
+    quantile = _interpolated(place - F.floor(place))
+    return found.select(*by, F.get(listed, F.col("_at")).alias("probability"), "n", quantile.alias("quantile"))
 
 
-def _one_row_per_probability(
-    table: DataFrame, probabilities: list[float], by: list[str]
-) -> DataFrame:
+def _brackets(values: DataFrame, probabilities: list[float], by: list[str], accuracy: int) -> DataFrame:
+    """Rows (by…, n, _brackets): for each probability a value below and one above its rank.
+
+    The sketch gives values at growing distances from each probability. The
+    nearest is taken whose distance exceeds the sketch's error by two ranks.
+    """
+    distances = [2 / accuracy]
+    while distances[-1] < 1:
+        distances.append(2 * distances[-1])
+    sides = {(p, d, side): min(max(p + side * d, 0.0), 1.0) for p in probabilities for d in distances for side in (-1, 1)}
+    sought = sorted(set(sides.values()))
+
+    def edge(p: float, side: int) -> Column:
+        outermost = {0.0: F.col("_least"), 1.0: F.col("_most")}
+        marks = [
+            outermost.get(sides[p, d, side], F.get("_marks", F.lit(sought.index(sides[p, d, side]))))
+            for d in distances
+        ]
+        return F.get(F.array(*marks), F.col("_near"))
+
     listed = [
         F.struct(
-            F.lit(float(p)).alias("probability"),
-            F.col("n"),
-            F.get("q", F.lit(i)).alias("quantile"),
+            F.lit(i).alias("at"), edge(p, -1).alias("low"), edge(p, 1).alias("high")
         )
         for i, p in enumerate(probabilities)
     ]
-    return table.select(*by, F.inline(F.array(*listed)))
-
-
-def _narrowed(
-    rows: DataFrame, probabilities: list[float], by: list[str], ranked_rows: int
-) -> DataFrame:
-    targets = staged(_first_targets(rows, probabilities, by), "quantile-targets")
-    for _ in range(MAX_PASSES):
-        unsettled = (F.col("low") < F.col("high")) & (F.col("rows") > ranked_rows)
-        if targets.where(unsettled).isEmpty():
-            break
-        targets = staged(_located(rows, targets, by), "quantile-targets")
-    return _interpolated(_ranked(rows, targets, by), by)
-
-
-def _first_targets(rows: DataFrame, probabilities: list[float], by: list[str]) -> DataFrame:
-    """One row per group and wanted 0-based rank, with the group's whole range.
-
-    ``before`` counts the rows below the range, ``rows`` those inside it.
-    """
-    wanted = []
-    for p in probabilities:
-        place = F.lit(float(p)) * (F.col("n") - 1)
-        for side, rank in (("lower", F.floor(place)), ("upper", F.ceil(place))):
-            wanted.append(
-                F.struct(
-                    F.lit(float(p)).alias("probability"),
-                    F.lit(side).alias("side"),
-                    rank.cast("long").alias("rank"),
-                )
-            )
-    return (
-        rows.groupBy(*by)
-        .agg(F.count("_x").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high"))
-        .where("n > 0")
-        .select(
-            *by,
-            "n",
-            "low",
-            "high",
-            F.lit(0).cast("long").alias("before"),
-            F.col("n").alias("rows"),
-            F.inline(F.array(*wanted)),
-        )
+    sketch = values.groupBy(*by).agg(
+        F.count("_x").alias("n"),
+        F.min("_x").alias("_least"),
+        F.max("_x").alias("_most"),
+        F.percentile_approx("_x", sought, accuracy).alias("_marks"),
     )
+    # distance >= 1 / accuracy + 2 / n, in doublings of 2 / accuracy
+    doublings = F.ceil(F.log2(F.lit(0.5) + F.lit(float(accuracy)) / F.greatest("n", F.lit(1))))
+    near = F.least(F.greatest(doublings, F.lit(0)), F.lit(len(distances) - 1)).cast("int")
+    return sketch.withColumn("_near", near).select(*by, "n", F.array(*listed).alias("_brackets"))
 
 
-def _in_ranges(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
-    """Rows inside the targets' ranges, which are disjoint or the same within a group."""
-    ranges = targets.select(*by, "low", "high", "before").distinct()
-    if by:
-        paired = lookup_join(rows, ranges, by, null_safe=True)
-    else:
-        # At most two ranges per probability.
-        paired = rows.join(F.broadcast(ranges), F.col("_x").between(F.col("low"), F.col("high")))
-    return paired.where(F.col("_x").between(F.col("low"), F.col("high")))
-
-
-def _located(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
-    """The targets with the range cut down to the cell that holds their rank."""
-    cell = equal_width_bin(F.col("_x"), F.col("low"), F.col("high"), CELLS)
-    running = Window.partitionBy(*by, "low").orderBy("cell")
-    cells = (
-        _in_ranges(rows, targets, by)
-        .groupBy(*by, "low", "before", cell.alias("cell"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.min("_x").alias("cell_low"),
-            F.max("_x").alias("cell_high"),
-        )
-        .withColumn("start", F.col("before") + F.sum("rows").over(running) - F.col("rows"))
-        .drop("before")
-    )
-    # Cells are few: CELLS per range.
-    sought = targets.select(*by, "n", "probability", "side", "rank", "low")
-    found = lookup_join(cells, sought, [*by, "low"], null_safe=True)
-    return found.where(_holds("start", "rows")).select(
-        *by,
-        "n",
-        F.col("cell_low").alias("low"),
-        F.col("cell_high").alias("high"),
-        F.col("start").alias("before"),
-        "rows",
-        "probability",
-        "side",
-        "rank",
-    )
+def _holds(rank: Column) -> Column:
+    """Whether the rank is one of those the value's copies fill."""
+    return (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_copies"))
 
 
-def _ranked(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
-    """The targets with the value at their rank; equal values are counted together first."""
-    ordered = Window.partitionBy(*by, "low").orderBy("_x")
-    values = (
-        _in_ranges(rows, targets, by)
-        .groupBy(*by, "low", "before", "_x")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("start", F.col("before") + F.sum("copies").over(ordered) - F.col("copies"))
-        .drop("before")
-    )
-    sought = targets.select(*by, "n", "probability", "side", "rank", "low")
-    found = lookup_join(values, sought, [*by, "low"], null_safe=True)
-    return found.where(_holds("start", "copies"))
-
-
-def _holds(start: str, size: str):
-    """Whether the rank is one of the ``size`` ranks from ``start`` on."""
-    return (F.col(start) <= F.col("rank")) & (F.col("rank") < F.col(start) + F.col(size))
-
-
-def _interpolated(ranked: DataFrame, by: list[str]) -> DataFrame:
-    lower = F.max(F.when(F.col("side") == "lower", F.col("_x")))
-    upper = F.max(F.when(F.col("side") == "upper", F.col("_x")))
-    place = F.col("probability") * (F.col("n") - 1)
-    share = place - F.floor(place)
-    return (
-        ranked.groupBy(*by, "probability", "n")
-        .agg(lower.alias("lower"), upper.alias("upper"))
-        .select(
-            *by,
-            "probability",
-            "n",
-            (F.col("lower") + share * (F.col("upper") - F.col("lower"))).alias("quantile"),
-        )
-    )
+def _interpolated(share: Column) -> Column:
+    outside = (F.col("n") > 0) & (F.col("_lower").isNull() | F.col("_upper").isNull())
+    even = F.col("_lower") == F.col("_upper")
+    between = F.col("_lower") + share * (F.col("_upper") - F.col("_lower"))
+    failed = F.raise_error(F.lit("a quantile's rank is outside its bracket")).cast("double")
+    return F.when(outside, failed).when(even, F.col("_lower")).otherwise(between)

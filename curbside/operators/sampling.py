@@ -13,8 +13,8 @@ from curbside.constants import (
 from curbside.operators.joins import keep_dates
 from curbside.operators.stats import days_with_trips, distinct_dates
 
-# Fixed value: resolution of the sampling threshold, 7 hexadecimal digits.
-HASH_DIGITS = 7
+# Fixed value: hexadecimal digits of a hash that are read as a number.
+HASH_DIGITS = 15
 
 
 def seeded_hash(key: Column, seed: int) -> Column:
@@ -33,11 +33,11 @@ def sample_by_hash(
     Whether a row is drawn does not depend on how the input is partitioned.
     Without a key the whole row is hashed, so equal rows are drawn together.
     """
-    if fraction >= 1:
-        return df
-    limit = f"{round(fraction * 16**HASH_DIGITS):0{HASH_DIGITS}x}"
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction must be from 0 to 1, got {fraction}")
     drawn = seeded_hash(F.col(key) if key else F.to_json(F.struct("*")), seed)
-    return df.where(F.substring(drawn, 1, HASH_DIGITS) < F.lit(limit))
+    number = F.conv(F.substring(drawn, 1, HASH_DIGITS), 16, 10).cast("bigint")
+    return df.where(number < F.lit(round(fraction * 16**HASH_DIGITS)))
 
 
 def first_rows(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:

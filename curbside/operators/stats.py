@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curbside.constants import (
+    DENSITY_CELLS,
     DENSITY_GRID,
     EXCLUDED_BOROUGHS,
     HISTOGRAM_BINS,
@@ -131,18 +132,16 @@ def kde_curve(
     column: str,
     grid: int = DENSITY_GRID,
     bandwidth: float | None = None,
-    resolution: float | None = None,
+    cells: int = DENSITY_CELLS,
 ) -> DataFrame:
     """Gaussian kernel density at ``grid`` points from minimum to maximum.
 
-    The bandwidth defaults to Scott's rule, stddev · N^(-1/5). Equal values are
-    counted once before the kernel is evaluated, so the work is distinct values
-    times ``grid``, whatever the row count. ``resolution`` rounds a column of
-    very many distinct values to multiples of that step first.
+    The bandwidth defaults to Scott's rule, stddev · N^(-1/5). Values are first
+    put into ``cells`` equally spaced places by linear binning: each counts for
+    the places left and right of it, more for the nearer one. The kernel is
+    evaluated for places times points, whatever the rows or distinct values.
     """
     value = F.col(column).cast("double")
-    if resolution is not None:
-        value = F.round(value / F.lit(resolution)) * F.lit(resolution)
     values = df.select(value.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     chosen = (
         F.stddev_samp("_x") * F.pow(F.count("_x"), F.lit(-0.2))
@@ -152,15 +151,31 @@ def kde_curve(
     marks = values.agg(
         F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count("_x").alias("_n"), chosen.alias("_h")
     )
-    weighted = values.groupBy("_x").agg(F.count(F.lit(1)).alias("_w"))
-    step = (F.col("_hi") - F.col("_lo")) / F.lit(grid - 1)
+    span = F.col("_hi") - F.col("_lo")
+    place = F.coalesce(F.try_divide(F.col("_x") - F.col("_lo"), span), F.lit(0.0)) * F.lit(cells - 1)
+    left = F.least(F.floor("_place"), F.lit(cells - 1)).cast("int")
+    share = F.col("_place") - left
+    sides = F.array(
+        F.struct(left.alias("_cell"), (1 - share).alias("_w")),
+        F.struct((left + 1).alias("_cell"), share.alias("_w")),
+    )
+    weighted = (
+        values.crossJoin(F.broadcast(marks.select("_lo", "_hi")))  # marks are one row
+        .withColumn("_place", place)
+        .select("_lo", "_hi", F.inline(sides))
+        .where("_w > 0")
+        .groupBy("_cell")
+        .agg(F.sum("_w").alias("_w"))
+    )
+    step = span / F.lit(grid - 1)
     points = F.transform(
         F.sequence(F.lit(0), F.lit(grid - 1)),
         lambda i: F.struct(i.alias("point"), (F.col("_lo") + i * step).alias("x")),
     )
+    centre = F.col("_lo") + F.col("_cell") * span / F.lit(cells - 1)
     return (
-        weighted.crossJoin(F.broadcast(marks))  # marks are one row
-        .select("_x", "_w", "_n", "_h", F.inline(points))
+        weighted.crossJoin(F.broadcast(marks))
+        .select(centre.alias("_x"), "_w", "_n", "_h", F.inline(points))
         .groupBy("point", "x", "_n", "_h")
         .agg(F.sum(F.col("_w") * _kernel()).alias("_sum"))
         .select("point", "x", F.try_divide("_sum", F.col("_n") * F.col("_h")).alias("density"))

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from curbside.constants import WEATHER_COLUMN_TYPES, ZONE_COLUMN_TYPES
+from curbside.constants import TRIP_MONTHS, WEATHER_COLUMN_TYPES, ZONE_COLUMN_TYPES
 from curbside.sources.schema import TRIP_SCHEMA, conform_schema, struct_of
 
+PARALLEL_FOOTERS = 16
+
 # Fixed value: how a month's landing file ends.
 MONTH_FILE = r"(\d{4})-(\d{2})\.parquet"
 
@@ -22,6 +26,8 @@ def month_path(root: str, set_name: str, year: int, month: int) -> str:
 
 
 def month_paths(root: str, set_name: str, months: Months) -> list[str]:
+    if set_name not in TRIP_MONTHS:
+        raise ValueError(f"set must be one of {', '.join(TRIP_MONTHS)}, got {set_name!r}")
     return [month_path(root, set_name, y, m) for y, listed in months.items() for m in listed]
 
 
@@ -60,9 +66,16 @@ def integrate_months(
     written at once, partitioned by set, year and month. No row is shuffled:
     every task writes the month it reads. Returns the raw path.
     """
+    paths = month_paths(landing, set_name, months)
+    if not paths:
+        raise ValueError("no months given")
+    read_schema = inheritable_thread_target(spark)(lambda p: spark.read.parquet(p).schema.json())
+    # Schemas are read from the files' footers, several months at a time.
+    with ThreadPool(min(len(paths), PARALLEL_FOOTERS)) as pool:
+        found = pool.map(read_schema, paths)
     by_schema: dict[str, list[str]] = {}
-    for path in month_paths(landing, set_name, months):
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    for path, text in zip(paths, found):
+        by_schema.setdefault(text, []).append(path)
     merged = None
     for paths in by_schema.values():
         scan = spark.read.parquet(*paths)
@@ -77,35 +90,39 @@ def integrate_months(
         )
         conformed = conform_schema(tagged, month_schema)
         merged = conformed if merged is None else merged.unionByName(conformed)
-    if merged is None:
-        raise ValueError("no months given")
     write_table(
-        merged.withColumn("set_name", F.lit(set_name)), raw, "set_name", "year", "month"
+        merged.withColumn("set_name", F.lit(set_name)),
+        raw,
+        "set_name",
+        "year",
+        "month",
+        rebuild=False,
     )
     return raw
 
 
-def write_table(df: DataFrame, path: str, *partition_columns: str) -> None:
+def write_table(df: DataFrame, path: str, *partition_columns: str, rebuild: bool = True) -> None:
     """Overwrite a Parquet table with as many writers as ``df`` has partitions.
 
-    With partition columns, only the partitions present in ``df`` are replaced.
+    A rebuilt table holds nothing but ``df``. Without ``rebuild``, only the
+    partitions present in ``df`` are replaced and the others stay.
     """
-    writer = df.write.mode("overwrite")
-    if partition_columns:
-        writer = writer.partitionBy(*partition_columns)
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    writer = df.write.mode("overwrite").partitionBy(*partition_columns)
+    writer.option("partitionOverwriteMode", "static" if rebuild else "dynamic").parquet(path)
 
 
-def write_by_borough(df: DataFrame, path: str, *outer: str) -> None:
+def write_by_borough(df: DataFrame, path: str, *outer: str, rebuild: bool = True) -> None:
     """One directory per borough, below one per ``outer`` value, in a single job.
 
+    Boroughs that ``df`` lacks are gone afterwards; without ``rebuild`` they stay
+    as they were, and those in ``df`` are replaced.
+
     Rows are rebalanced by the partition columns first: each directory gets files
     of the advisory partition size, a small borough one, and a borough holding
     most rows is split over many tasks.
     """
     columns = [*outer, "Borough"]
-    write_table(df.hint("rebalance", *columns), path, *columns)
+    write_table(df.hint("rebalance", *columns), path, *columns, rebuild=rebuild)
 
 
 def read_boroughs(

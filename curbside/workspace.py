@@ -16,21 +16,22 @@ def stage_path(spark: SparkSession, label: str) -> str:
     it, so there a missing setting is an error. Paths of one application share
     a folder, which the file system drops when the application ends.
     """
-    application = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = _default_root(spark)
-    folder = f"{root.rstrip('/')}/curbside-{application}"
+        if _default_scheme(spark) == "file" and spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        root = _default_files(spark).makeQualified(spark._jvm.org.apache.hadoop.fs.Path("/tmp")).toString()
+    folder = f"{root.rstrip('/')}/curbside-{spark.sparkContext.applicationId}"
     _drop_at_exit(spark, folder)
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
-def _default_root(spark: SparkSession) -> str:
-    files = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
-    one_machine = spark.sparkContext.master.partition("[")[0] == "local"
-    if files.getUri().getScheme() == "file" and not one_machine:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return files.makeQualified(spark._jvm.org.apache.hadoop.fs.Path("/tmp")).toString()
+def _default_files(spark: SparkSession):
+    return spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+
+
+def _default_scheme(spark: SparkSession) -> str:
+    return _default_files(spark).getUri().getScheme()
 
 
 def _drop_at_exit(spark: SparkSession, folder: str) -> None:

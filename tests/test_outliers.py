@@ -18,7 +18,8 @@ def numbers(spark, values):
 
 
 def narrowed(df, probabilities, by=None):
-    return exact_quantiles(df, "v", probabilities, by, one_pass_limit=0, ranked_rows=5)
+    """With a sketch so coarse that many values are left around every rank."""
+    return exact_quantiles(df, "v", probabilities, by, accuracy=20)
 
 
 RNG = np.random.default_rng(7)
@@ -30,6 +31,8 @@ SHAPES = {
     "single": np.array([3.0]),
     "all equal": np.full(50, 2.5),
     "two": np.array([1.0, 4.0]),
+    "hundreds of decades": 10.0 ** RNG.uniform(-300, 300, 2000) * RNG.choice([-1, 1], 2000),
+    "infinite ends": np.concatenate([RNG.normal(0, 1, 200), [np.inf] * 30, [-np.inf] * 30]),
 }
 
 
@@ -38,18 +41,32 @@ def test_narrowed_quantiles_are_exact(spark, shape):
     values = SHAPES[shape]
     wanted = [0.0, 0.02, 0.25, 0.5, 0.75, 0.999, 1.0]
     found = {r["probability"]: r["quantile"] for r in narrowed(numbers(spark, values), wanted).collect()}
+    ordered = np.sort(values)
     for p in wanted:
-        assert found[p] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12), p
+        place = p * (len(values) - 1)
+        low, high = ordered[math.floor(place)], ordered[math.ceil(place)]
+        exact = low if low == high else low + (place - math.floor(place)) * (high - low)
+        assert found[p] == pytest.approx(exact, rel=1e-9, abs=1e-12, nan_ok=True), p
 
 
-def test_ranking_is_exact_without_any_narrowing(spark, monkeypatch):
+def test_empty_input_gives_one_row_per_probability_of_no_rows(spark):
+    for find in (exact_quantiles, approx_quantiles):
+        found = find(numbers(spark, [None, float("nan")]), "v", [0.25, 0.75]).collect()
+        assert sorted((r["probability"], r["n"], r["quantile"]) for r in found) == [(0.25, 0, None), (0.75, 0, None)]
+    grouped = numbers(spark, []).withColumn("g", F.lit(1))
+    assert exact_quantiles(grouped, "v", [0.5], ["g"]).count() == 0
+
+
+def test_a_rank_outside_its_bracket_fails(spark, monkeypatch):
     from curbside.operators import quantiles
 
-    monkeypatch.setattr(quantiles, "MAX_PASSES", 0)
-    values = SHAPES["one hot value"]
-    found = {r["probability"]: r["quantile"] for r in narrowed(numbers(spark, values), [0.1, 0.9]).collect()}
-    for p, quantile in found.items():
-        assert quantile == pytest.approx(np.quantile(values, p), rel=1e-12)
+    def wrong(values, probabilities, by, accuracy):
+        bracket = F.struct(F.lit(0).alias("at"), F.lit(5.0).alias("low"), F.lit(6.0).alias("high"))
+        return values.agg(F.count("_x").alias("n")).select("n", F.array(bracket).alias("_brackets"))
+
+    monkeypatch.setattr(quantiles, "_brackets", wrong)
+    with pytest.raises(Exception, match="outside its bracket"):
+        exact_quantiles(numbers(spark, [1, 2, 3]), "v", [0.5]).collect()
 
 
 def test_narrowed_quantiles_by_group_with_a_null_key_and_a_hot_key(spark):
@@ -136,14 +153,19 @@ def test_histogram_equals_numpy(spark):
     assert [r["bin_start"] for r in bins] == pytest.approx(list(edges[:-1]))
 
 
-def test_density_curve_equals_brute_force(spark):
+def test_density_curve_is_near_brute_force(spark):
     values = np.round(RNG.normal(20, 4, 300), 1)
     width = values.std(ddof=1) * len(values) ** -0.2
     curve = sorted(stats.kde_curve(numbers(spark, values), "v", grid=25).collect())
     points = np.linspace(values.min(), values.max(), 25)
     kernel = np.exp(-(((points[:, None] - values) / width) ** 2) / 2) / math.sqrt(2 * math.pi)
     assert [r["x"] for r in curve] == pytest.approx(list(points))
-    assert [r["density"] for r in curve] == pytest.approx(list(kernel.mean(axis=1) / width))
+    assert [r["density"] for r in curve] == pytest.approx(list(kernel.mean(axis=1) / width), rel=1e-4, abs=1e-6)
+
+
+def test_density_curve_of_equal_values(spark):
+    curve = stats.kde_curve(numbers(spark, [7, 7, 7]), "v", grid=3, bandwidth=1.0).collect()
+    assert [r["density"] for r in curve] == pytest.approx([1 / math.sqrt(2 * math.pi)] * 3)
 
 
 def test_profile_counts_nulls_but_not_nans(spark):
@@ -170,6 +192,11 @@ def test_sample_does_not_depend_on_partitioning(spark):
     assert 0.04 < len(once) / 20000 < 0.06
     assert sampling.sample_by_hash(table, "id", 1.0).count() == 20000
     assert sampling.sample_by_hash(table, "id", 0.0).count() == 0
+    assert sampling.sample_by_hash(table, "id", 1e-9).count() <= 1
+    assert sampling.sample_by_hash(table, "id", 1 - 1e-9).count() >= 19999
+    for fraction in (-0.1, 1.1):
+        with pytest.raises(ValueError, match="fraction"):
+            sampling.sample_by_hash(table, "id", fraction)
     assert rows(sampling.sample_by_hash(table, seed=43)) != once
 
 

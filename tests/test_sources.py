@@ -75,6 +75,13 @@ def test_schema_difference(spark):
     ]
 
 
+def test_unknown_sets_are_refused(spark):
+    with pytest.raises(ValueError, match="train_set"):
+        tables.month_paths("data", "trian_set", {2023: [1]})
+    with pytest.raises(ValueError, match="train_set"):
+        tables.integrate_months(spark, "data", "raw", "other", {2023: [1]})
+
+
 def test_month_paths_are_zero_padded():
     assert tables.month_paths("data", "train_set", {2022: [12], 2023: [1]}) == [
         "data/train_set/2022-12.parquet",
@@ -139,10 +146,13 @@ def test_borough_split_partitions_the_input(spark, tmp_path):
     }
     assert rows(tables.read_boroughs(spark, path)) == rows(table)
     assert tables.read_boroughs(spark, path, ["N/A"]).count() == 30
-    # Writing one borough again leaves the others in place.
-    tables.write_by_borough(table.where("Borough = 'Queens' and id < 30"), path)
+    some = table.where("Borough = 'Queens' and id < 30")
+    # Replacing one borough leaves the others in place; a rebuild leaves nothing else.
+    tables.write_by_borough(some, path, rebuild=False)
     counts = rows(tables.read_boroughs(spark, path).groupBy("Borough").count())
     assert counts == [("N/A", 30), ("Queens", 10), ("Staten Island", 30)]
+    tables.write_by_borough(some, path)
+    assert rows(tables.read_boroughs(spark, path).groupBy("Borough").count()) == [("Queens", 10)]
 
 
 def test_overwrite_replaces_the_table(spark, tmp_path):
@@ -156,10 +166,13 @@ def test_stage_paths_are_new_and_below_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     first, second = (workspace.stage_path(spark, "x") for _ in range(2))
     assert first != second
-    assert first.startswith(root or spark.conf.get("spark.checkpoint.dir"))
+    assert first.startswith(root or "file:/tmp")
+    assert spark.conf.get("spark.checkpoint.dir", None) == root
+
 
+def test_stage_path_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    monkeypatch.setattr(workspace, "_default_scheme", lambda spark: "file")
 
-def test_stage_path_needs_a_shared_folder_on_a_cluster():
     class Session:
         class conf:
             @staticmethod
