@@ -12,12 +12,16 @@ possible link are left out, by bounds that lose no link:
    partner. So of its ``HEAD`` percent smallest shingles (by hash) a known
    number is also in the partner's head. Heads alone are counted, and documents
    with too few shingles in other heads drop out.
-3. In the order of rising frequency, two linked documents share one of the first
-   shingles of their heads, up to a bound; only such pairs are candidates.
-4. For every shingle the first document holding it is compared with the others.
-   Documents so linked form components, and pairs inside one need no comparison:
-   a group of thousands of near copies costs a few comparisons per copy. After
-   ``ROUNDS`` such rounds all remaining pairs across components are compared.
+3. The remaining documents' whole sets are counted. In the order of rising
+   frequency, two linked documents share one of the first shingles of their sets,
+   up to a bound; only such pairs are candidates.
+4. For every shingle the first document holding it is compared with the others,
+   ``ROUNDS`` times with what is left. Documents so linked form components, and
+   pairs inside one need no comparison: a group of thousands of near copies costs
+   a few comparisons per copy.
+5. At last each document is compared with every component, other than its own and
+   at least as large, that it shares one of these shingles with. All candidates
+   left are among these pairs, each made once however many shingles it shares.
 
 Shingles are 64-bit hashes of five words.
 
@@ -45,7 +49,9 @@ PERCENT = 75
 # Percentage of a set's shingles, smallest hashes first, that form its head.
 HEAD = 40
 FRAGMENTS = 8
-ROUNDS = 4
+ROUNDS = 2
+# Bytes of text that a task hashes at a time.
+PART_BYTES = 2 << 20
 
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -124,7 +130,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n, sig, more): set size and 128 bits that name the set."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", PART_BYTES):
             sets = shingle_sets(batch.column("text"))
             one = [int(_mix(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
             two = [int(_mix(s ^ _BASE).sum(dtype=np.uint64).view(np.int64)) for s in sets]
@@ -143,7 +149,7 @@ def _heads(docs: DataFrame) -> DataFrame:
     """
 
     def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", PART_BYTES):
             named: dict[bytes, tuple[int, np.ndarray]] = {}
             for doc, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"))):
                 if len(s) and doc is not None:
@@ -177,7 +183,7 @@ def _segments(docs: DataFrame) -> DataFrame:
     shift = np.uint64(64 - (FRAGMENTS - 1).bit_length())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", PART_BYTES):
             doc, fragment, ends, parts = [], [], [0], []
             for number, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"))):
                 at = np.searchsorted(s >> shift, np.arange(FRAGMENTS + 1, dtype=np.uint64))
@@ -201,7 +207,7 @@ def _segments(docs: DataFrame) -> DataFrame:
 
 
 def _postings(heads: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows (shingle, doc, n): the shingles by which a document can meet a partner.
+    """Rows (shingle, doc, n): the shingles by which heads can meet, of documents with enough.
 
     ``sets`` holds (doc, n) of one document per distinct set.
     """
@@ -209,18 +215,39 @@ def _postings(heads: DataFrame, sets: DataFrame) -> DataFrame:
     counted = heads.withColumn("frequency", F.sum(holders).over(Window.partitionBy("shingle")))
     every = F.concat(F.array("doc"), F.coalesce("others", F.array().cast("array<long>")))
     shared = counted.where("frequency > 1").select("shingle", "frequency", F.explode(every).alias("doc"))
-    # A head is at most as long as its text.
+    return _first_shared(shared, sets, _shared_at_least(F.col("n")))
+
+
+def _first_shared(shared: DataFrame, sets: DataFrame, least: Column) -> DataFrame:
+    """Rows (shingle, doc, n): the first shingles of each list, of rising frequency.
+
+    ``shared`` holds (shingle, frequency, doc) of the shingles that several
+    documents have. Linked lists have ``least`` in common. Shingles of one
+    document alone come first in the order, so a list of s shared shingles meets a
+    linked one within its first s - least + 1 shared ones.
+    """
+    # A list is at most as long as its text.
     listed = shared.groupBy("doc").agg(F.collect_list(F.struct("frequency", "shingle")).alias("shared"))
-    missing = F.col("n") - F.ceil(F.col("n") * PERCENT / 100)
-    head = F.least(F.col("n"), F.greatest(F.ceil(F.col("n") * HEAD / 100), missing + 1))
-    # Shingles of this head alone come first in the order of frequency.
-    alone = head - F.size("shared")
-    reach = (head - _shared_at_least(F.col("n")) + 1 - alone).cast("int")
+    reach = (F.size("shared") - least + 1).cast("int")
     kept = lookup_join(listed, sets, ["doc"]).withColumn("reach", reach).where("reach > 0")
     first = F.slice(F.sort_array("shared"), 1, F.col("reach"))
     return kept.select(F.explode(first).alias("s"), "doc", "n").select("s.shingle", "doc", "n")
 
 
+def _whole_postings(segments: DataFrame, sets: DataFrame) -> DataFrame:
+    """The same of whole sets."""
+    every = segments.select("doc", F.explode("shingles").alias("shingle"))
+    frequent = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1")
+    least = F.ceil(F.col("n") * PERCENT / 100)
+    return _first_shared(every.join(frequent, "shingle"), sets, least)
+
+
+def _partnered(postings: DataFrame) -> DataFrame:
+    """Without the shingles that only one document is left with."""
+    several = postings.groupBy("shingle").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
+    return postings.join(several.select("shingle"), "shingle")
+
+
 def _same_size(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
@@ -259,32 +286,34 @@ def _first_pairs(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, rest.select("shingle", "doc", "n")
 
 
-def _all_pairs(postings: DataFrame) -> DataFrame:
-    """Pairs of documents of different components that share a shingle.
+def _component_pairs(postings: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs of documents with all members of the components they share a shingle with.
 
-    Documents of a shingle are ordered by component; each is paired with those
-    of later components only, by place, so pairs inside a component are never made.
+    Only components other than the document's own and at least as large count,
+    so a few strays meet a large group and not the other way round. ``members``
+    holds (doc, n, root) of all candidates.
     """
-    place = F.row_number().over(Window.partitionBy("shingle").orderBy("root", "doc"))
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     several = postings.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    placed = postings.join(several.select("shingle"), "shingle").withColumn("place", place)
-    last = Window.partitionBy("shingle", "root")
-    whole = Window.partitionBy("shingle")
-    ranged = placed.withColumn("after", F.max("place").over(last) + 1).withColumn("size", F.max("place").over(whole))
-    asking = ranged.where("after <= size").select(
-        "shingle",
-        F.col("doc").alias("a"),
-        F.col("n").alias("na"),
-        F.explode(F.sequence("after", "size")).alias("place"),
-    )
-    other = placed.select("shingle", "place", F.col("doc").alias("b"), F.col("n").alias("nb"))
-    pairs = asking.join(other, ["shingle", "place"]).where(_same_size("na", "nb"))
-    return pairs.select("a", "b", "na", "nb").distinct()
-
-
-def _rooted(postings: DataFrame, roots: DataFrame) -> DataFrame:
-    found = postings.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left")
-    return found.withColumn("root", F.coalesce("root", "doc"))
+    left = postings.join(several.select("shingle"), "shingle").join(sizes, "root")
+    there = left.select("shingle", F.struct("size", "root").alias("other")).distinct()
+    # A shingle's documents meet its components, not its documents; those of the largest ask none.
+    largest = there.groupBy("shingle").agg(F.max("other").alias("largest"))
+    own = F.struct("size", "root")
+    asking = left.join(largest, "shingle").where(own < F.col("largest"))
+    asked = asking.join(there, "shingle").where(own < F.col("other"))
+    asked = asked.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("other.root").alias("root")).distinct()
+    rest = members.select(F.col("doc").alias("b"), F.col("n").alias("nb"), "root")
+    return asked.join(rest, "root").where(_same_size("na", "nb")).select("a", "b", "na", "nb")
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots (doc, n, root) after the components of linked documents are joined."""
+    a = roots.select(F.col("doc").alias("a"), F.col("root").alias("ra"))
+    b = roots.select(F.col("doc").alias("b"), F.col("root").alias("rb"))
+    between = links.join(a, "a").join(b, "b").where("ra != rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    moved = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return roots.join(moved, "root", "left").select("doc", "n", F.coalesce("top", "root").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,34 +327,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "sig", "more").agg(F.min("doc_id").alias("doc"))
     )
     classes = staged(classes, "shingle-classes")
-    postings = staged(_postings(_heads(whole), classes.select("doc", "n")), "shingle-postings")
-
-    partnered = postings.groupBy("shingle").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
-    postings = staged(postings.join(partnered.select("shingle"), "shingle"), "shingle-postings")
-    named = staged(postings.select(F.col("doc").alias("doc_id")).distinct(), "shingle-candidates")
+    sets = classes.select("doc", "n")
+    heads = staged(_partnered(_postings(_heads(whole), sets)).select("doc").distinct(), "shingle-heads")
+    named = heads.select(F.col("doc").alias("doc_id"))
     # One text per id: rows repeated whole must not count an overlap twice.
     texts = lookup_join(whole, named, ["doc_id"], "left_semi").dropDuplicates(["doc_id"])
     segments = staged(_segments(texts), "shingle-segments")
+    left = staged(_partnered(_whole_postings(segments, sets)), "shingle-postings")
 
-    links = None
-    roots = postings.select(F.col("doc").alias("node"), F.col("doc").alias("root")).limit(0)
-    left = postings
+    roots = staged(left.select("doc", "n", F.col("doc").alias("root")).distinct(), "shingle-roots")
     for number in range(ROUNDS + 1):
-        rooted = _rooted(left, roots)
+        rooted = left.join(roots.select("doc", "root"), "doc")
         if number < ROUNDS:
             pairs, left = _first_pairs(rooted)
             left = staged(left, "shingle-postings")
         else:
-            pairs = _all_pairs(rooted)
-        pairs = staged(pairs, "shingle-pairs")
-        if not pairs.isEmpty():
-            found = staged(_linked(pairs, segments), "shingle-links")
-            links = found if links is None else links.unionByName(found)
-            roots = staged(components(links), "shingle-roots")
-        if number < ROUNDS and left.isEmpty():
+            pairs = _component_pairs(rooted, roots)
+        links = staged(_linked(staged(pairs, "shingle-pairs"), segments), "shingle-links")
+        if not links.isEmpty():
+            roots = staged(_joined(roots, links), "shingle-roots")
+        if left.isEmpty():
             break
 
-    of_class = lookup_join(classes, roots.select(F.col("node").alias("doc"), "root"), ["doc"], "left")
+    of_class = lookup_join(classes, roots.select("doc", "root"), ["doc"], "left")
     of_class = of_class.select("n", "sig", "more", F.coalesce("root", "doc").alias("root"))
     keyed = signed.join(of_class, ["n", "sig", "more"], "left")
     return keyed.select(
