@@ -1 +1,8 @@
 """Operators for large training-data pipelines; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with their code, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

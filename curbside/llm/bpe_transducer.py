@@ -407,14 +407,17 @@ def _coded(docs: DataFrame, path: str, doc_id: str, text: str, columns: str, for
     vocabulary = Vocabulary(path)
     block = lexicon_of(frequent_words(docs, text), vocabulary)
     # Both have a fixed size: the tokenizer's vocabulary and 1 / (2 LEXICON_SHARE) words of 64 bytes.
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, block))
+    shared = docs.sparkSession.sparkContext.broadcast((vars(vocabulary), block))
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = whole.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_tokens", *(c.split(" ")[0] for c in columns.split(", "))]
     kinds = [pa.list_(pa.int32()) if "array" in c else pa.string() for c in columns.split(", ")]
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*shared.value)
+        state, lexicon = shared.value
+        vocabulary = Vocabulary.__new__(Vocabulary)
+        vars(vocabulary).update(state)
+        codec = Codec(vocabulary, lexicon)
         for batch in small_batches(batches, "text"):
             counts, left, right = [], [], []
             texts = [text or "" for text in batch.column("text").to_pylist()]
