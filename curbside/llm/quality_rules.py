@@ -11,7 +11,7 @@ empty result. Other columns of the input are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from curbside.llm.text import bound, words_of
 from curbside.operators.joins import lookup_join
@@ -131,12 +131,16 @@ def host_rules(
     The texts are read once: their measures, a few numbers per document, are
     stored before hosts are counted.
     """
-    measured = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), *measures(docs, text))
+    measured = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), *measures(docs, text)
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     measured = staged(measured.withColumn("base_failed", failed), "host-rules")
-    verdicts = host_rates(measured).select("host", (F.col("rate") > max_host_rate).alias("host_failed"))
+    verdicts = host_rates(measured).select(
+        "host", (F.col("rate") > max_host_rate).alias("host_failed")
+    )
     judged = lookup_join(measured, verdicts, ["host"], null_safe=True)
     return judged.withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed")).drop("host")
 
