@@ -273,7 +273,8 @@ def _border_rows(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     names=["anchor", "part", "parts", "doc", "place", "before", "after", "bytes"],
                 )
 
-    held = lookup_join(texts, staged(listed, "suffix-places"), ["doc_id"], limit=RUNS_BYTES)
+    # The places are many at any size of corpus, so both sides are always shuffled.
+    held = texts.join(listed.hint("merge"), "doc_id")
     return held.mapInArrow(
         cut, "anchor long, part int, parts int, doc long, place long, before short, after short, bytes binary"
     )
