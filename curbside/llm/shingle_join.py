@@ -19,9 +19,11 @@ possible link are left out, by bounds that lose no link:
    ``ROUNDS`` times with what is left. Documents so linked form components, and
    pairs inside one need no comparison: a group of thousands of near copies costs
    a few comparisons per copy.
-5. At last each document is compared with every component, other than its own and
-   at least as large, that it shares one of these shingles with. All candidates
-   left are among these pairs, each made once however many shingles it shares.
+5. At last each document meets every component, other than its own and at least as
+   large, that it shares one of these shingles with. Where all members together
+   hold 75 % of its shingles, it is compared with each of them; elsewhere no single
+   member can. All candidates left are among these pairs, each made once however
+   many shingles it shares.
 
 Shingles are 64-bit hashes of five words.
 
@@ -286,8 +288,8 @@ def _first_pairs(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, rest.select("shingle", "doc", "n")
 
 
-def _component_pairs(postings: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of documents with all members of the components they share a shingle with.
+def _component_pairs(postings: DataFrame, members: DataFrame, segments: DataFrame) -> DataFrame:
+    """Pairs of documents with all members of the components they may link to.
 
     Only components other than the document's own and at least as large count,
     so a few strays meet a large group and not the other way round. ``members``
@@ -303,10 +305,22 @@ def _component_pairs(postings: DataFrame, members: DataFrame) -> DataFrame:
     asking = left.join(largest, "shingle").where(own < F.col("largest"))
     asked = asking.join(there, "shingle").where(own < F.col("other"))
     asked = asked.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("other.root").alias("root")).distinct()
+    asked = _covered(staged(asked, "shingle-asked"), members, segments)
     rest = members.select(F.col("doc").alias("b"), F.col("n").alias("nb"), "root")
     return asked.join(rest, "root").where(_same_size("na", "nb")).select("a", "b", "na", "nb")
 
 
+def _covered(asked: DataFrame, members: DataFrame, segments: DataFrame) -> DataFrame:
+    """Of (a, na, root), those whose component's members together hold enough of a's shingles."""
+    mine = segments.join(asked.withColumnRenamed("a", "doc"), "doc").select(
+        F.col("doc").alias("a"), "na", "root", F.explode("shingles").alias("shingle")
+    )
+    within = members.join(asked.select("root").distinct(), "root").select("doc", "root")
+    theirs = segments.join(within, "doc").select("root", F.explode("shingles").alias("shingle")).distinct()
+    held = mine.join(theirs, ["root", "shingle"]).groupBy("a", "na", "root").agg(F.count(F.lit(1)).alias("held"))
+    return held.where(100 * F.col("held") >= PERCENT * F.col("na")).drop("held")
+
+
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Roots (doc, n, root) after the components of linked documents are joined."""
     a = roots.select(F.col("doc").alias("a"), F.col("root").alias("ra"))
@@ -342,7 +356,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             pairs, left = _first_pairs(rooted)
             left = staged(left, "shingle-postings")
         else:
-            pairs = _component_pairs(rooted, roots)
+            pairs = _component_pairs(rooted, roots, segments)
         links = staged(_linked(staged(pairs, "shingle-pairs"), segments), "shingle-links")
         if not links.isEmpty():
             roots = staged(_joined(roots, links), "shingle-roots")
