@@ -22,7 +22,6 @@ KINDS = {
     "date": "DATE",
 }
 NO_SQL = {
-    "speed_quartiles_approx",
     "prepare_features",
     "predict",
     "linreg_borough",
@@ -64,7 +63,7 @@ def test_query_equals_sql(spark, sf, duck, name):
     assert expected[1] or name in EMPTY_HERE, "an empty result checks nothing"
 
 
-@pytest.mark.parametrize("name", ["speed_quartiles_approx", "prepare_features", "predict"])
+@pytest.mark.parametrize("name", ["prepare_features", "predict"])
 def test_query_without_sql_gives_rows(spark, sf, name):
     assert contract.queries()[name](spark, sf).count() > 0
 
