@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers_core import rows
 from curbside.constants import HOLIDAYS, TRIP_WINDOWS
 from curbside.functions import binning, calendar, trip, weather
 from curbside.operators import cleaning, holidays, joins, stats

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers_core import rows
 from curbside.plans import flows
 from curbside.sources import tables
 

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers_core import rows
 from curbside.models import duration, features
 from curbside.operators.stats import compare_hourly, mean_absolute_error
 

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from helpers_core import plan_text
 from curbside.catalog import aggregates, modelling, rows, steps, tables, views  # noqa: F401
 from curbside.catalog.registry import QUERIES
 from curbside.operators.quantiles import exact_quantiles

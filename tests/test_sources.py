@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers_core import rows
 from curbside import workspace
 from curbside.sources import schema, tables
 
