@@ -9,11 +9,14 @@ from curbside.llm import (
     ann_multiprobe,
     bpe_transducer,
     language_gru,
+    merkle_manifest,
     mixing,
     pii_feistel,
     quality_crf,
     quality_rules,
+    ranked_search,
     shingle_join,
+    simhash,
     suffix_dedup,
     token_trie,
 )
@@ -68,6 +71,18 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.encode_digests(table(spark, sf_dir, "documents"), path)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.tampered_check(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_crf": op1_quality_crf,
     "op2_quality_rules": op2_quality_rules,
@@ -79,8 +94,13 @@ QUERIES = {
     "op8_pii_feistel": op8_pii_feistel,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_transducer": op10_bpe_transducer,
+    "op11_simhash": op11_simhash,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES = {
     "op2_quality_rules": quality_rules.SQL,
+    "op12_merkle_manifest": merkle_manifest.SQL,
+    "op13_ranked_search": ranked_search.SQL,
 }
