@@ -21,9 +21,9 @@ from curbside.operators.quantiles import approx_quantiles, exact_quantiles
 from curbside.sources import schema
 
 
-def rounded(df, *columns):
-    """The named double columns to 6 digits, the precision of the oracle comparison."""
-    return df.withColumns({name: F.round(name, 6) for name in columns})
+def rounded(df, *columns, digits=6):
+    """The named double columns to the digits of the oracle comparison."""
+    return df.withColumns({name: F.round(name, digits) for name in columns})
 
 
 # --- joins -------------------------------------------------------------------

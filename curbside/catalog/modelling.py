@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from curbside.catalog import steps, views
 from curbside.catalog.aggregates import rounded
 from curbside.catalog.registry import query
-from curbside.constants import CATEGORICAL_FEATURES
-from curbside.models import duration, features
+from curbside.constants import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from curbside.functions.trip import predicted_speed_mph
+from curbside.models import duration, features, grouped
+from curbside.models.fitted import fit_models
 from curbside.plans import flows
+from curbside.workspace import staged
 
 # Test rows with the rank of each category among the train rows (most frequent first,
 # ties by text) and the number of categories. A value unseen in training has no rank.
@@ -109,35 +112,146 @@ def standard_scale(spark, sf):
     return prepared.select("event_id", *_vector_cells(features.SCALED))
 
 
-@query("prepare_features")
+def features_sql(by: str) -> str:
+    """Rows (grp, column, value, trips, slot, scale) of train, grouped by an expression."""
+    levels = " union all ".join(
+        f"""select {by} as grp, {i} as part, '{c}' as col, cast({c} as varchar) as value, count(*) as trips
+          from train group by all"""
+        for i, c in enumerate(CATEGORICAL_FEATURES)
+    )
+    numbers = " union all ".join(
+        f"""select {by} as grp, {i} as place, '{c}' as col, stddev_samp(cast({c} as double)) as deviation, count(*) as trips
+          from train group by all"""
+        for i, c in enumerate(NUMERIC_FEATURES)
+    )
+    return f"""levels as ({levels}),
+      totals as (select {by} as grp, count(*) as n from train group by all),
+      ranked as (
+        select grp, col, value, trips, cast(row_number() over (partition by grp order by part, trips desc, value) - 1 as int) as slot,
+          sqrt(trips / n * (1 - trips / n) * n / greatest(n - 1, 1)) as deviation
+        from levels join totals using (grp)),
+      numbered as (
+        select grp, col, null as value, trips, cast(size + place as int) as slot, deviation
+        from ({numbers}) join (select grp, count(*) as size from ranked group by grp) using (grp)),
+      dictionary as (
+        select * exclude (deviation), case when deviation > 0 then 1 / deviation else 0 end as scale
+        from (select * from ranked union all select * from numbered))"""
+
+
+def _cells_sql(by: str, table: str, set_name: str) -> str:
+    """Rows (set_name, grp, event_id, col, value, x): the inputs of each trip, one by one."""
+    categories = " union all ".join(
+        f"select '{set_name}' as set_name, {by} as grp, event_id, '{c}' as col, cast({c} as varchar) as value, 1.0::double as x from {table}"
+        for c in CATEGORICAL_FEATURES
+    )
+    numbers = " union all ".join(
+        f"select '{set_name}', {by}, event_id, '{c}', null, cast({c} as double) from {table}" for c in NUMERIC_FEATURES
+    )
+    return f"{categories} union all {numbers}"
+
+
+@query(
+    "prepare_features",
+    f"""select * from (with {features_sql('Borough')},
+        cells as ({_cells_sql('Borough', 'train', 'train')} union all {_cells_sql('Borough', 'test', 'test')})
+      select set_name, grp as Borough, event_id, slot, round(x * scale, 6) as cell
+      from cells join dictionary using (grp, col)
+      where cells.value is not distinct from dictionary.value and x * scale <> 0)""",
+)
 def prepare_features(spark, sf):
+    """Scaled features of every borough's trips as their cells other than zero, from one dictionary."""
     train, test = steps.stored_split(spark, sf)
-    prepared = features.prepare_features(train, test)[:2]
-    first, second = (
-        side.select(
-            F.lit(name).alias("set_name"),
-            "event_id",
-            "trip_duration",
-            vector_to_array(features.SCALED).alias(features.SCALED),
-        )
-        for name, side in zip(("train", "test"), prepared)
-    )
-    return first.unionByName(second)
+    table = staged(grouped.dictionary(staged(grouped.moments(train), "moments")), "dictionary")
+    both = [
+        side.select(F.lit(name).alias("set_name"), "Borough", "event_id", *CATEGORICAL_FEATURES, *NUMERIC_FEATURES)
+        for name, side in (("train", train), ("test", test))
+    ]
+    cells = grouped.encode(both[0].unionByName(both[1]), table)
+    cells = cells.select("set_name", "Borough", "event_id", F.inline("features"))
+    return cells.select("set_name", "Borough", "event_id", "slot", F.round("value", 6).alias("cell"))
+
+
+def lines_sql(by: str) -> str:
+    """The table ``scored`` (grp, event_id, prediction) of test, by least squares solved here.
+
+    Gauss-Jordan elimination over the products of all columns; a column that depends
+    on earlier ones has no pivot left and gets no effect. Then every category's
+    effects are moved, together with the intercept, so that they balance by their
+    levels' variances: the solution of least length.
+    """
+    constant = f"select 'train' as set_name, {by} as grp, event_id, '' as col, null as value, 1.0::double as x from train"
+    label = f"select 'train', {by}, event_id, 'label', null, trip_duration from train"
+    numbers = ", ".join(f"'{c}'" for c in NUMERIC_FEATURES)
+    return f"""inputs as ({_cells_sql(by, 'train', 'train')} union all {constant} union all {label}),
+      totals as (select {by} as grp, count(*) as n from train group by all),
+      names as (
+        select grp, col, value, count(*) as trips, row_number() over (partition by grp
+            order by case when col = '' then 0 when col in ({numbers}) then 1 when col = 'label' then 3 else 2 end, col, value) as i
+        from inputs group by grp, col, value),
+      wide as (select i.grp, event_id, n.i, x from inputs i join names n
+        on n.grp = i.grp and n.col = i.col and n.value is not distinct from i.value),
+      products as (
+        select a.grp, a.i, b.i as j, sum(a.x * b.x) as p
+        from wide a join wide b on a.grp = b.grp and a.event_id = b.event_id group by all),
+      matrix as (
+        select grp, i, list(coalesce(p, 0) order by j) as r
+        from (select a.grp, a.i, b.i as j from names a join names b using (grp)) left join products using (grp, i, j)
+        group by grp, i),
+      solved as (
+        with recursive steps as (
+          select grp, 0 as k, count(*) - 1 as d, list(r order by i) as m from matrix group by grp
+          union all
+          select grp, k + 1, d, case when abs(m[k + 1][k + 1]) < 1e-6 then m else list_transform(m, lambda r, i:
+              case when i = k + 1 then list_transform(r, lambda x: x / lead)
+              else list_transform(list_zip(r, own), lambda z: z[1] - r[k + 1] / lead * z[2]) end) end
+          from (select *, m[k + 1] as own, m[k + 1][k + 1] as lead from steps) where k < d)
+        select grp, i, case when abs(m[i][i]) < 1e-6 then 0 else m[i][d + 1] end as effect
+        from steps, unnest(range(1, d + 1)) as t(i) where k = d),
+      effects as (
+        select grp, col, value, effect, trips / n * (1 - trips / n) as spread
+        from solved join names using (grp, i) join totals using (grp)),
+      moved as (
+        select grp, col, coalesce(sum(spread * effect) / nullif(sum(spread), 0), 0) as shift
+        from effects where value is not null group by grp, col),
+      balanced as (
+        select grp, col, value, effect - coalesce(shift, 0) as effect from effects left join moved using (grp, col) where col <> ''
+        union all
+        select grp, '', null, effect + (select sum(shift) from moved m where m.grp = e.grp) from effects e where col = ''),
+      asked as ({_cells_sql(by, 'test', 'test')} union all {constant.replace("'train'", "'test'").replace('from train', 'from test')}),
+      scored as (
+        select a.grp, event_id, sum(x * coalesce(effect, 0)) as prediction
+        from asked a semi join totals t on t.grp = a.grp left join balanced b
+          on b.grp = a.grp and b.col = a.col and b.value is not distinct from a.value
+        group by all)"""
 
 
-@query("predict")
+@query(
+    "predict",
+    f"""select * from (with {lines_sql("'all'")}
+      select event_id, trip_duration, round(prediction, 4) as prediction,
+        round(case when prediction <> 0 then trip_distance / (prediction / 60) end, 4) as predicted_speed
+      from test join scored using (event_id))""",
+)
 def predict(spark, sf):
+    """A linear model of all trips, as a table, applied to the test trips."""
     train, test = steps.stored_split(spark, sf)
-    fit_rows, score_rows, _ = features.prepare_features(train, test)
-    scored = duration.predict(fit_rows, score_rows, duration.linear_regression())
-    return scored.select("event_id", "trip_duration", "prediction", "predicted_speed")
+    model = fit_models(train, {"linear": duration.linear_regression()}, [])
+    scored = model.score(test).withColumn("predicted_speed", predicted_speed_mph())
+    return rounded(scored.select("event_id", "trip_duration", "prediction", "predicted_speed"), "prediction", "predicted_speed", digits=4)
 
 
-@query("linreg_borough")
+@query(
+    "linreg_borough",
+    f"""select * from (with {lines_sql("Borough")}
+      select Borough, 'linear' as model, day, hour, trip_distance, trip_duration, speed, round(prediction, 4) as prediction,
+        round(case when prediction <> 0 then trip_distance / (prediction / 60) end, 4) as predicted_speed
+      from test join scored using (event_id))""",
+)
 def linreg_borough(spark, sf):
     train, test = steps.stored_split(spark, sf)
     models = {"linear": duration.linear_regression()}
-    return duration.borough_predictions(train, test, views.boroughs(spark, sf), models)
+    scored = duration.borough_predictions(train, test, views.boroughs(spark, sf), models)
+    return rounded(scored, "prediction", "predicted_speed", digits=4)
 
 
 @query("rf_borough")

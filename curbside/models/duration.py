@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
-from curbside.constants import LABEL, MODEL_BOROUGHS
+from curbside.constants import LABEL, MODEL_BOROUGHS, SAMPLE_SEED
 from curbside.functions.trip import predicted_speed_mph
-from curbside.models.features import SCALED, prepare_features
+from curbside.models import grouped
+from curbside.models.features import SCALED
+from curbside.models.fitted import FittedModels, fit_models
 from curbside.operators.stats import mean_absolute_error
 
-# Boroughs fitted at the same time; each fit is itself a distributed job.
+# Boroughs whose forests are fitted at the same time; each fit is itself a distributed job.
 PARALLEL_FITS = 6
 SCORED_COLUMNS = ["day", "hour", "trip_distance", LABEL, "speed"]
 PREDICTION_COLUMNS = [*SCORED_COLUMNS, "prediction", "predicted_speed"]
@@ -27,8 +26,8 @@ def linear_regression(features: str = SCALED) -> LinearRegression:
     return LinearRegression(featuresCol=features, labelCol=LABEL)
 
 
-def random_forest(features: str = SCALED, seed: int | None = None) -> RandomForestRegressor:
-    """Twenty trees of depth five; without a seed, Spark's fixed default."""
+def random_forest(features: str = SCALED, seed: int = SAMPLE_SEED) -> RandomForestRegressor:
+    """Twenty trees of depth five. The seed is fixed: PySpark's default differs from process to process."""
     return RandomForestRegressor(featuresCol=features, labelCol=LABEL, seed=seed)
 
 
@@ -77,21 +76,11 @@ def fitted_lines(trips: DataFrame, columns: list[str]) -> DataFrame:
     return trips.sparkSession.createDataFrame([_line(trips, columns)], _line_schema(columns))
 
 
-def borough_lines(
-    train: DataFrame, columns: list[str], boroughs: Iterable[str], parallelism: int = PARALLEL_FITS
-) -> DataFrame:
-    """The same for every borough that has rows, several at a time; one row per borough."""
-    spark = train.sparkSession
-    boroughs = list(boroughs)
-    sizes = borough_sizes(train, train.limit(0), boroughs)
-    usable = [name for name in boroughs if sizes[name][0] > 0]
-
-    def fitted(borough: str) -> tuple:
-        return (borough, *_line(train.where(F.col("Borough") == borough), columns))
-
-    with ThreadPool(max(1, min(parallelism, len(usable)))) as pool:
-        rows = pool.map(inheritable_thread_target(spark)(fitted), usable)
-    return spark.createDataFrame(rows, f"Borough string, {_line_schema(columns)}")
+def borough_lines(train: DataFrame, columns: list[str], boroughs: Iterable[str]) -> DataFrame:
+    """The same for every listed borough that has rows, from one scan; one row per borough."""
+    chosen = train.where(F.col("Borough").isin(list(boroughs)))
+    found = grouped.moments(chosen, ["Borough"], [], columns)
+    return grouped.wide_lines(grouped.fit_lines(found, ["Borough"], [], columns), columns, ["Borough"])
 
 
 def univariate_line(trips: DataFrame, feature: str = "trip_distance") -> DataFrame:
@@ -127,59 +116,41 @@ def borough_sizes(train: DataFrame, test: DataFrame, boroughs: list[str]) -> dic
     return {name: found.get(name, (0, 0)) for name in boroughs}
 
 
+def fit_boroughs(
+    train: DataFrame,
+    boroughs: Iterable[str] = MODEL_BOROUGHS,
+    models: dict[str, Estimator] | None = None,
+    parallelism: int = PARALLEL_FITS,
+) -> FittedModels:
+    """Models of every listed borough that has training rows, as tables.
+
+    Features and plain linear regressions of all boroughs come from one scan. Rows
+    are not grouped into tasks by borough, and a forest's fit is a distributed job,
+    so one borough holding most trips only means more tasks.
+    """
+    models = default_models() if models is None else models
+    chosen = train.where(F.col("Borough").isin(list(boroughs)))
+    return fit_models(chosen, models, ["Borough"], parallelism=parallelism)
+
+
+def score_boroughs(fitted: FittedModels, test: DataFrame) -> DataFrame:
+    """Test predictions of every borough and model, with both as columns, from one scan."""
+    inputs = [*fitted.categories, *fitted.numbers]
+    needed = [*fitted.by, *inputs, *[c for c in SCORED_COLUMNS if c not in inputs]]
+    scored = fitted.score(test.select(*needed))
+    scored = scored.withColumn("predicted_speed", predicted_speed_mph())
+    return scored.select("Borough", "model", *PREDICTION_COLUMNS)
+
+
 def borough_predictions(
     train: DataFrame,
     test: DataFrame,
     boroughs: Iterable[str] = MODEL_BOROUGHS,
     models: dict[str, Estimator] | None = None,
-    sizes: dict | None = None,
     parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
-    """Test predictions of every borough and model, with both as columns.
-
-    Each borough gets its own feature pipeline. Rows are not grouped into tasks
-    by borough: a fit is a distributed job over that borough's rows, so one
-    borough holding most trips only means more tasks in its fits. Up to
-    ``parallelism`` boroughs are fitted at a time, which keeps the cluster busy
-    through the short jobs of small ones. Boroughs without training rows have
-    no model and no predictions. Give tables partitioned by borough, and each
-    fit reads its own directory only.
-    """
-    models = default_models() if models is None else models
-    boroughs = list(boroughs)
-    sizes = borough_sizes(train, test, boroughs) if sizes is None else sizes
-
-    def fitted(borough: str) -> DataFrame:
-        chosen = F.col("Borough") == borough
-        fit_rows, score_rows, _ = prepare_features(train.where(chosen), test.where(chosen))
-        # Both fits read the prepared rows, which are indexed and encoded once.
-        fit_rows = fit_rows.select(SCALED, LABEL).persist()
-        try:
-            fits = [estimator.fit(fit_rows) for estimator in models.values()]
-        finally:
-            fit_rows.unpersist()
-        # Every model scores in the same pass; rows are then listed by model.
-        for number, model in enumerate(fits):
-            score_rows = model.setPredictionCol(f"_prediction_{number}").transform(score_rows)
-        listed = [
-            F.struct(F.lit(name).alias("model"), F.col(f"_prediction_{number}").alias("prediction"))
-            for number, name in enumerate(models)
-        ]
-        return (
-            score_rows.select(F.lit(borough).alias("Borough"), *SCORED_COLUMNS, F.inline(F.array(*listed)))
-            .withColumn("predicted_speed", predicted_speed_mph())
-            .select("Borough", "model", *PREDICTION_COLUMNS)
-        )
-
-    usable = [borough for borough in boroughs if sizes[borough][0] > 0]
-    if not usable:
-        nothing = {name: F.lit(None).cast("double") for name in ("prediction", "predicted_speed")}
-        blank = test.withColumns({**nothing, "model": F.lit("")}).where("false")
-        return blank.select("Borough", "model", *PREDICTION_COLUMNS)
-    with ThreadPool(min(parallelism, len(usable))) as pool:
-        task = inheritable_thread_target(train.sparkSession)(fitted)
-        parts = pool.map(task, usable)
-    return reduce(DataFrame.unionByName, parts)
+    """Test predictions by models fitted on train; boroughs without training rows have none."""
+    return score_boroughs(fit_boroughs(train, boroughs, models, parallelism), test)
 
 
 def borough_scores(
@@ -202,6 +173,6 @@ def borough_scores(
         [(b, m, *sizes[b], status(*sizes[b])) for b in boroughs for m in models],
         "Borough string, model string, train_rows bigint, test_rows bigint, status string",
     )
-    predictions = borough_predictions(train, test, boroughs, models, sizes)
+    predictions = borough_predictions(train, test, boroughs, models)
     scores = mean_absolute_error(predictions, "Borough", "model").drop("predictions")
     return listed.join(F.broadcast(scores), ["Borough", "model"], "left")

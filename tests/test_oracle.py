@@ -22,24 +22,28 @@ KINDS = {
     "date": "DATE",
 }
 NO_SQL = {
-    "prepare_features",
-    "predict",
-    "linreg_borough",
     "rf_borough",
     "borough_models",
 }
+# The smallest tables leave more directions of these equations open than the levels do, and
+# there the SQL's solution is another one.
+LARGER = {"predict", "linreg_borough"}
 # No day of the smallest tables has as many trips as this query asks for.
 EMPTY_HERE = {"days_min_trips"}
 
 
-@pytest.fixture(scope="module")
-def duck(sf):
+def opened(sf):
     connection = duckdb.connect()
     for table in TABLES:
         connection.execute(f"create view {table} as select * from '{sf}/{table}.parquet'")
     return connection
 
 
+@pytest.fixture(scope="module")
+def duck(sf):
+    return opened(sf)
+
+
 def in_name_order(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     cells = [tuple("NULL" if r[i] is None else str(r[i]) for i in order) for r in rows]
@@ -53,6 +57,9 @@ def test_only_queries_sql_cannot_express_lack_it():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf, duck, name):
+    if name in LARGER:
+        sf = "/root/testdata/sf0.01"
+        duck = opened(sf)
     result = contract.queries()[name](spark, sf)
     answer = duck.execute(contract.oracle_sql()[name])
     kinds = {column[0]: str(column[1]) for column in answer.description}
@@ -63,7 +70,7 @@ def test_query_equals_sql(spark, sf, duck, name):
     assert expected[1] or name in EMPTY_HERE, "an empty result checks nothing"
 
 
-@pytest.mark.parametrize("name", ["prepare_features", "predict"])
+@pytest.mark.parametrize("name", ["rf_borough"])
 def test_query_without_sql_gives_rows(spark, sf, name):
     assert contract.queries()[name](spark, sf).count() > 0
 
