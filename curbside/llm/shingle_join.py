@@ -7,30 +7,32 @@ is counted in each fragment by itself and the counts are summed per pair.
 Before that, documents without any possible partner and pairs without any
 possible link are left out, by bounds that lose no link:
 
-1. Equal sets are joined as one, named by a signature of the set.
+1. Equal sets are joined as one, named by a 64-bit signature of the set.
 2. A document that links keeps at least 75 % of its shingles in common with its
    partner. So of its ``HEAD`` percent smallest shingles (by hash) a known
    number is also in the partner's head. Heads alone are counted, and documents
    with too few shingles in other heads drop out.
 3. The remaining documents' whole sets are counted. In the order of rising
    frequency, two linked documents share one of the first shingles of their sets,
-   up to a bound; only such pairs are candidates.
-4. For every shingle the first document holding it is compared with the others,
-   ``ROUNDS`` times with what is left. Documents so linked form components, and
-   pairs inside one need no comparison: a group of thousands of near copies costs
-   a few comparisons per copy.
-5. At last each document meets every component, other than its own and at least as
-   large, that it shares one of these shingles with. Where all members together
-   hold 75 % of its shingles, it is compared with each of them; elsewhere no single
-   member can. All candidates left are among these pairs, each made once however
-   many shingles it shares.
+   up to a bound. Every such shingle carries how many shared shingles the set has
+   from there on. At the first shingle of a pair both have at least as many left as
+   their overlap must have, which their sizes tell; so a set that is mostly a common
+   passage, but not enough of it, pairs with none of the passage's other holders.
+4. For every shingle the document with most left is compared with the others,
+   ``ROUNDS`` times. Documents so linked form components, and pairs inside one need
+   no comparison: a group of thousands of near copies costs a few comparisons per
+   copy.
+5. Of what is left, a document stays by a shingle while another component has a
+   document there whose bound reaches its size. Pairs between components are
+   compared, each made once however many shingles it shares.
 
 Shingles are 64-bit hashes of five words.
 
 Defined results: a text with fewer words than a shingle is one shingle; without
 words, or NULL, the set is empty and links with nothing; repeated rows are each
-returned; a NULL id links with nothing and is its own component. Other columns
-are not read.
+returned; rows of one id with different texts are one document with the links of
+them all, where its texts have words; a NULL id links with nothing and is its own
+component. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -128,40 +130,41 @@ def _shared_at_least(n: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(n * ((HEAD - (100 - PERCENT)) * PERCENT) / F.lit(10_000)))
 
 
+def set_name(shingles: np.ndarray) -> int:
+    """64 bits that name a set, whatever the order of its shingles."""
+    sums = _mix(shingles).sum(dtype=np.uint64), _mix(shingles ^ _BASE).sum(dtype=np.uint64)
+    mixed = _mix(np.array([sums[0]], np.uint64) ^ _mix(np.array([sums[1]], np.uint64) + np.uint64(len(shingles))))
+    return int(mixed.view(np.int64)[0])
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, sig, more): set size and 128 bits that name the set."""
+    """Rows (doc_id, n, doc): set size and the set's name."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", PART_BYTES):
             sets = shingle_sets(batch.column("text"))
-            one = [int(_mix(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-            two = [int(_mix(s ^ _BASE).sum(dtype=np.uint64).view(np.int64)) for s in sets]
+            sizes, names = [len(s) for s in sets], [set_name(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two)],
-                names=["doc_id", "n", "sig", "more"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())],
+                names=["doc_id", "n", "doc"],
             )
 
-    return docs.mapInArrow(signed, "doc_id long, n long, sig long, more long")
+    return docs.mapInArrow(signed, "doc_id long, n long, doc long")
 
 
 def _heads(docs: DataFrame) -> DataFrame:
-    """Rows (shingle, doc, others): the documents of a batch with this shingle in their head.
-
-    Equal sets of a batch count once, by their smallest id.
-    """
+    """Rows (shingle, doc, others): the sets of a batch with this shingle in their head, equal ones once."""
 
     def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", PART_BYTES):
-            named: dict[bytes, tuple[int, np.ndarray]] = {}
+            named: dict[int, np.ndarray] = {}
             for doc, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"))):
                 if len(s) and doc is not None:
-                    head = s[: _head_size(len(s))]
-                    known = named.get(key := s.tobytes())
-                    named[key] = (min(doc, known[0]) if known else doc, head)
+                    named[set_name(s)] = s[: _head_size(len(s))]
             if not named:
                 continue
-            shingles = np.concatenate([head for _, head in named.values()])
-            owner = np.repeat([d for d, _ in named.values()], [len(h) for _, h in named.values()])
+            shingles = np.concatenate(list(named.values()))
+            owner = np.repeat(list(named), [len(h) for h in named.values()])
             order = np.argsort(shingles, kind="stable")
             shingles, owner = shingles[order], owner[order].astype(np.int64)
             first = np.flatnonzero(np.r_[True, shingles[1:] != shingles[:-1]])
@@ -187,7 +190,8 @@ def _segments(docs: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", PART_BYTES):
             doc, fragment, ends, parts = [], [], [0], []
-            for number, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"))):
+            for s in shingle_sets(batch.column("text")):
+                number = set_name(s)
                 at = np.searchsorted(s >> shift, np.arange(FRAGMENTS + 1, dtype=np.uint64))
                 for f in range(FRAGMENTS):
                     if at[f] < at[f + 1]:
@@ -211,7 +215,7 @@ def _segments(docs: DataFrame) -> DataFrame:
 def _postings(heads: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows (shingle, doc, n): the shingles by which heads can meet, of documents with enough.
 
-    ``sets`` holds (doc, n) of one document per distinct set.
+    ``sets`` holds (doc, n) of every set.
     """
     holders = 1 + F.coalesce(F.size("others"), F.lit(0))
     counted = heads.withColumn("frequency", F.sum(holders).over(Window.partitionBy("shingle")))
@@ -221,19 +225,21 @@ def _postings(heads: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _first_shared(shared: DataFrame, sets: DataFrame, least: Column) -> DataFrame:
-    """Rows (shingle, doc, n): the first shingles of each list, of rising frequency.
+    """Rows (shingle, doc, n, left): the first shingles of each list, of rising frequency.
 
     ``shared`` holds (shingle, frequency, doc) of the shingles that several
     documents have. Linked lists have ``least`` in common. Shingles of one
     document alone come first in the order, so a list of s shared shingles meets a
-    linked one within its first s - least + 1 shared ones.
+    linked one within its first s - least + 1 shared ones. ``left`` counts the shared
+    shingles from each one on.
     """
-    # A list is at most as long as its text.
-    listed = shared.groupBy("doc").agg(F.collect_list(F.struct("frequency", "shingle")).alias("shared"))
+    # A list is at most as long as its text; a set read in several batches lists a shingle once.
+    listed = shared.groupBy("doc").agg(F.collect_set(F.struct("frequency", "shingle")).alias("shared"))
     reach = (F.size("shared") - least + 1).cast("int")
     kept = lookup_join(listed, sets, ["doc"]).withColumn("reach", reach).where("reach > 0")
     first = F.slice(F.sort_array("shared"), 1, F.col("reach"))
-    return kept.select(F.explode(first).alias("s"), "doc", "n").select("s.shingle", "doc", "n")
+    placed = kept.select(F.posexplode(first).alias("place", "s"), "doc", "n", F.size("shared").alias("size"))
+    return placed.select("s.shingle", "doc", "n", (F.col("size") - F.col("place")).cast("long").alias("left"))
 
 
 def _whole_postings(segments: DataFrame, sets: DataFrame) -> DataFrame:
@@ -250,8 +256,17 @@ def _partnered(postings: DataFrame) -> DataFrame:
     return postings.join(several.select("shingle"), "shingle")
 
 
-def _same_size(a: str, b: str) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _largest_partner(n: str, left: str) -> Column:
+    """Size of the largest set that can overlap enough where ``left`` shared shingles are left.
+
+    100 overlap >= PERCENT (n + m - overlap), with overlap at most left.
+    """
+    return F.floor(F.col(left) * (100 + PERCENT) / F.lit(PERCENT)) - F.col(n)
+
+
+def _may_link(a: str, b: str) -> Column:
+    """Whether postings (n, most) of one shingle, with these prefixes, may belong to a linked pair."""
+    return (F.col(f"{a}n") <= F.col(f"{b}most")) & (F.col(f"{b}n") <= F.col(f"{a}most"))
 
 
 def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
@@ -270,55 +285,50 @@ def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return overlap.where(100 * F.col("overlap") >= PERCENT * union).select("a", "b")
 
 
-def _first_pairs(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of each shingle's first document with its others, and the postings without the first.
+def _pivot_pairs(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each shingle's pivot with its others, and the postings without the pivots.
 
-    Only documents of different components are paired.
+    The pivot is the document with most shingles left, say a group's original. Only
+    documents of different components are paired.
     """
-    first = postings.groupBy("shingle").agg(
-        F.min(F.struct("doc", "n", "root")).alias("first"), F.min("root").alias("lo"), F.max("root").alias("hi")
-    )
-    rest = postings.join(first.where("lo < hi"), "shingle").where(F.col("doc") != F.col("first.doc"))
-    pairs = (
-        rest.where(F.col("root") != F.col("first.root"))
-        .select(F.col("first.doc").alias("a"), F.col("doc").alias("b"), F.col("first.n").alias("na"), F.col("n").alias("nb"))
-        .where(_same_size("na", "nb"))
-        .distinct()
-    )
-    return pairs, rest.select("shingle", "doc", "n")
+    order = F.struct(F.col("left"), F.bitwise_not("doc").alias("last"), F.col("doc"), F.col("n"), F.col("most"), F.col("root"))
+    pivots = postings.groupBy("shingle").agg(F.max(order).alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    pivots = pivots.where("lo < hi").select("shingle", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("doc", "n", "most", "root")])
+    rest = postings.join(pivots, "shingle").where(F.col("doc") != F.col("p_doc"))
+    pairs = rest.where((F.col("root") != F.col("p_root")) & _may_link("", "p_"))
+    return _distinct_pairs(pairs, "doc", "n", "p_doc", "p_n"), rest.select("shingle", "doc", "n", "left", "most")
 
 
-def _component_pairs(postings: DataFrame, members: DataFrame, segments: DataFrame) -> DataFrame:
-    """Pairs of documents with all members of the components they may link to.
+def _distinct_pairs(pairs: DataFrame, a: str, na: str, b: str, nb: str) -> DataFrame:
+    low = F.col(a) < F.col(b)
+    sides = [F.when(low, F.col(x)).otherwise(F.col(y)) for x, y in ((a, b), (b, a), (na, nb), (nb, na))]
+    return pairs.select(*[side.alias(name) for side, name in zip(sides, ("a", "b", "na", "nb"))]).distinct()
 
-    Only components other than the document's own and at least as large count,
-    so a few strays meet a large group and not the other way round. ``members``
-    holds (doc, n, root) of all candidates.
-    """
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    several = postings.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    left = postings.join(several.select("shingle"), "shingle").join(sizes, "root")
-    there = left.select("shingle", F.struct("size", "root").alias("other")).distinct()
-    # A shingle's documents meet its components, not its documents; those of the largest ask none.
-    largest = there.groupBy("shingle").agg(F.max("other").alias("largest"))
-    own = F.struct("size", "root")
-    asking = left.join(largest, "shingle").where(own < F.col("largest"))
-    asked = asking.join(there, "shingle").where(own < F.col("other"))
-    asked = asked.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("other.root").alias("root")).distinct()
-    asked = _covered(staged(asked, "shingle-asked"), members, segments)
-    rest = members.select(F.col("doc").alias("b"), F.col("n").alias("nb"), "root")
-    return asked.join(rest, "root").where(_same_size("na", "nb")).select("a", "b", "na", "nb")
-
-
-def _covered(asked: DataFrame, members: DataFrame, segments: DataFrame) -> DataFrame:
-    """Of (a, na, root), those whose component's members together hold enough of a's shingles."""
-    mine = segments.join(asked.withColumnRenamed("a", "doc"), "doc").select(
-        F.col("doc").alias("a"), "na", "root", F.explode("shingles").alias("shingle")
+
+def _still_open(postings: DataFrame) -> DataFrame:
+    """Postings of documents that a document of another component may reach by the same shingle."""
+    best = postings.groupBy("shingle", "root").agg(F.max("most").alias("most"))
+    top = best.groupBy("shingle").agg(F.max(F.struct("most", "root")).alias("top"))
+    others = best.join(top, "shingle").where(F.col("root") != F.col("top.root"))
+    second = others.groupBy("shingle").agg(F.max("most").alias("second"))
+    reached = top.join(second, "shingle")
+    other = F.when(F.col("root") == F.col("top.root"), F.col("second")).otherwise(F.col("top.most"))
+    return postings.join(reached, "shingle").where(F.col("n") <= other).select(*postings.columns)
+
+
+def _rooted(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    return postings.join(roots.select("doc", "root"), "doc")
+
+
+def _open_pairs(postings: DataFrame) -> DataFrame:
+    """All pairs between components that may link by a shingle both have; each once."""
+    a, b = (
+        postings.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("doc", "n", "most", "root")])
+        for side in ("a", "b")
     )
-    within = members.join(asked.select("root").distinct(), "root").select("doc", "root")
-    theirs = segments.join(within, "doc").select("root", F.explode("shingles").alias("shingle")).distinct()
-    held = mine.join(theirs, ["root", "shingle"]).groupBy("a", "na", "root").agg(F.count(F.lit(1)).alias("held"))
-    return held.where(100 * F.col("held") >= PERCENT * F.col("na")).drop("held")
+    between = (F.col("a_root") < F.col("b_root")) & _may_link("a_", "b_")
+    met = a.join(b, (a["shingle"] == b["shingle"]) & between)
+    return _distinct_pairs(met, "a_doc", "a_n", "b_doc", "b_n")
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -330,6 +340,12 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return roots.join(moved, "root", "left").select("doc", "n", F.coalesce("top", "root").alias("root"))
 
 
+def _one_document(signed: DataFrame) -> DataFrame:
+    """Links (a, b) between the different sets of one id."""
+    several = signed.groupBy("doc_id").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
+    return signed.join(several.select("doc_id", "a"), "doc_id").where("a < doc").select("a", F.col("doc").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, n_shingles, component_id), one per document.
 
@@ -337,51 +353,58 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = staged(_signatures(whole), "shingle-signatures")
-    classes = (
-        signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "sig", "more").agg(F.min("doc_id").alias("doc"))
-    )
-    classes = staged(classes, "shingle-classes")
+    named = signed.where("n > 0 AND doc_id IS NOT NULL")
+    classes = staged(named.groupBy("doc").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id")), "shingle-classes")
     sets = classes.select("doc", "n")
     heads = staged(_partnered(_postings(_heads(whole), sets)).select("doc").distinct(), "shingle-heads")
-    named = heads.select(F.col("doc").alias("doc_id"))
-    # One text per id: rows repeated whole must not count an overlap twice.
-    texts = lookup_join(whole, named, ["doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    segments = staged(_segments(texts), "shingle-segments")
-    left = staged(_partnered(_whole_postings(segments, sets)), "shingle-postings")
-
-    roots = staged(left.select("doc", "n", F.col("doc").alias("root")).distinct(), "shingle-roots")
+    # The texts of the smallest ids of the sets in question; an id may have other texts besides.
+    asked = lookup_join(classes, heads, ["doc"], "left_semi").select("doc_id")
+    texts = lookup_join(whole, asked.distinct(), ["doc_id"], "left_semi")
+    segments = lookup_join(_segments(texts), heads, ["doc"], "left_semi").dropDuplicates(["doc", "fragment"])
+    segments = staged(segments, "shingle-segments")
+    postings = _partnered(_whole_postings(segments, sets)).withColumn("most", _largest_partner("n", "left"))
+    postings = staged(postings, "shingle-postings")
+
+    same = staged(_one_document(named), "shingle-same-id")
+    nodes = postings.select("doc").unionByName(same.select(F.col("a").alias("doc"))).unionByName(same.select(F.col("b").alias("doc")))
+    roots = staged(lookup_join(sets, nodes.distinct(), ["doc"], "left_semi").withColumn("root", F.col("doc")), "shingle-roots")
+    if not same.isEmpty():
+        roots = staged(_joined(roots, same), "shingle-roots")
     for number in range(ROUNDS + 1):
-        rooted = left.join(roots.select("doc", "root"), "doc")
-        if number < ROUNDS:
-            pairs, left = _first_pairs(rooted)
-            left = staged(left, "shingle-postings")
-        else:
-            pairs = _component_pairs(rooted, roots, segments)
+        rooted = _rooted(postings, roots)
+        pairs, postings = _pivot_pairs(rooted) if number < ROUNDS else (_open_pairs(rooted), postings)
         links = staged(_linked(staged(pairs, "shingle-pairs"), segments), "shingle-links")
         if not links.isEmpty():
             roots = staged(_joined(roots, links), "shingle-roots")
-        if left.isEmpty():
-            break
-
-    of_class = lookup_join(classes, roots.select("doc", "root"), ["doc"], "left")
-    of_class = of_class.select("n", "sig", "more", F.coalesce("root", "doc").alias("root"))
-    keyed = signed.join(of_class, ["n", "sig", "more"], "left")
+        if number < ROUNDS:
+            postings = staged(_still_open(_rooted(postings, roots)).drop("root"), "shingle-postings")
+            if postings.isEmpty():
+                break
+
+    # A component is named by the smallest id among all its sets' documents.
+    of_class = lookup_join(classes, roots.select("doc", "root"), ["doc"], "left").withColumn("root", F.coalesce("root", "doc"))
+    least = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of_class = of_class.join(least, "root").select("doc", "component_id")
+    keyed = signed.join(of_class, "doc", "left")
+    linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     return keyed.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"),
+        F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
 def keep_first_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component: the one of smallest id; columns as given.
 
-    Rows repeated with one id are copies too, and one of them stays. Documents
-    without an id stay. Only texts with a repeated id are shuffled.
+    Rows repeated with one id are copies too, and the one of smallest text stays.
+    Documents without an id stay. Only texts with a repeated id are shuffled.
     """
     groups = near_duplicates(docs, doc_id, text).where(F.col("doc_id") == F.col("component_id"))
     stays = staged(groups.groupBy(F.col("doc_id").alias(doc_id)).agg(F.count(F.lit(1)).alias("rows")), "shingle-kept")
     once = lookup_join(docs, stays.where("rows = 1").select(doc_id), [doc_id], "left_semi")
     again = lookup_join(docs, stays.where("rows > 1").select(doc_id), [doc_id], "left_semi")
     nameless = docs.where(F.col(doc_id).isNull())
-    return once.unionByName(again.dropDuplicates([doc_id])).unionByName(nameless)
+    first = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
+    again = again.withColumn("_first", first).where("_first = 1").drop("_first")
+    return once.unionByName(again).unionByName(nameless)

@@ -217,6 +217,39 @@ def test_groups_equal_brute_force(make_docs, documents, odd_rows, rounds, monkey
             assert (r["n_shingles"], r["component_id"]) == expected[r["doc_id"]], r
 
 
+def test_texts_of_one_id_are_one_document(make_docs):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, a), (5, a), (5, b), (7, b), (9, b + " end"), (5, ""), (20, "other words"), (21, None)]
+    found = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in join.near_duplicates(make_docs(rows)).collect())
+    assert found == [(1, 36, 1), (5, 0, 5), (5, 36, 1), (5, 36, 1), (7, 36, 1), (9, 37, 1), (20, 1, 20), (21, 0, 21)]
+
+
+def test_variants_too_far_apart_are_hardly_compared(make_docs, monkeypatch):
+    """Hundreds of variants of one text, of which many are not near any other, and holders of a passage."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(base)]
+    for i in range(400):
+        text = list(base)
+        for place in rng.sample(range(150), rng.choice((2, 3, 9, 12))):
+            text[place] = f"v{rng.randrange(60)}"
+        texts.append(" ".join(text))
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts += [passage + " " + " ".join(f"u{i}x{j}" for j in range(30)) for i in range(300)]
+    rows = list(enumerate(texts))
+    compared = []
+
+    def counted(pairs, segments, linked=join._linked):
+        compared.append(pairs.count())
+        return linked(pairs, segments)
+
+    monkeypatch.setattr(join, "_linked", counted)
+    result = join.near_duplicates(make_docs(rows)).collect()
+    expected = groups(rows)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in result} == expected
+    assert sum(compared) < 6 * len(rows)
+
+
 def test_one_of_each_group_stays(make_docs, odd_rows):
     docs = make_docs(odd_rows)
     kept = join.keep_first_of_each_group(docs)
