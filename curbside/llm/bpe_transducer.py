@@ -7,9 +7,9 @@ id sequences. Automaton and table are one block of bytes, which every worker
 maps into memory from a file without a name. What the lexicon lacks is merged
 exactly by the tokenizer's rules, so the lexicon changes speed and no result.
 
-Texts are cut into runs of white space and words with the space before them;
-pre-tokens never cross such a cut. Cuts seen before are remembered, in bounded
-number.
+What a worker has once encoded it remembers by pre-token: the ids as text, their
+number and the bytes they decode to. It keeps those met last, in bounded number,
+from one task to the next.
 
 Defined results: a NULL text is empty and gives no ids; repeated rows are each
 encoded; an empty table gives an empty result. Other columns are not read.
@@ -25,7 +25,7 @@ import re
 import struct
 import tempfile
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -37,20 +37,37 @@ from curbside.llm.text import small_batches, words_of
 
 # Occurrences per byte from which a word is compiled into the lexicon: at most 250,000 words.
 LEXICON_SHARE = 2e-6
-# Cuts that a worker remembers.
-KEPT_CUTS = 300_000
+# Pre-tokens that a worker remembers.
+KEPT_TOKENS = 400_000
+# Characters from which a text is taken in pieces, and pre-tokens of a piece.
+LONG_TEXT, PIECE_TOKENS = 4 << 20, 200_000
 # Bytes from which a pre-token is merged with a queue.
 LONG_TOKEN = 200
 NEVER = 1 << 40
 
 # Fixed value: the pre-tokens of this kind of tokenizer. White space is Unicode's
 # property of that name, which leaves out the four ASCII separators 1C to 1F.
-_SPACE, _INK = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
-PRE_TOKENS = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-)
-CUTS = re.compile(rf" ?{_INK}+|{_SPACE}+(?!{_INK})|{_SPACE}+")
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{W}{L}{N}]+|[{W}]+(?![^{W}])|[{W}]+"
+PRE_TOKENS = regex.compile(_PARTS.format(L=r"\p{L}", N=r"\p{N}", W=r"\p{White_Space}"))
+# The same classes up to the last Latin letter of Unicode's block Latin Extended-B.
+LATIN_CLASSES = {
+    "L": "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f",
+    "N": "0-9\u00b2\u00b3\u00b9\u00bc-\u00be",
+    "W": "\t-\r \u0085\u00a0",
+}
+LATIN_TOKENS = re.compile(_PARTS.format(**LATIN_CLASSES))
+BEYOND_LATIN = re.compile("[^\u0000-\u024f]")
+
+
+def pre_tokens(text: str) -> Iterator[list[str]]:
+    """A text's pre-tokens, all in one list or, of a long text, in several."""
+    pattern = PRE_TOKENS if BEYOND_LATIN.search(text) else LATIN_TOKENS
+    if len(text) < LONG_TEXT:
+        yield pattern.findall(text)
+        return
+    found = pattern.finditer(text)
+    while piece := [m.group() for m in islice(found, PIECE_TOKENS)]:
+        yield piece
 
 
 def byte_letters() -> list[str]:
@@ -305,14 +322,18 @@ class Lexicon:
         return self.find_all([word])[0]
 
 
+# What is known of a pre-token: its ids joined by commas, their number, the bytes they decode to.
+Known = tuple[str, int, bytes]
+
+
 class Codec:
-    """Encodes by cuts: memory first, then the lexicon, then merging."""
+    """Encodes by pre-tokens: memory first, then the lexicon, then merging."""
 
     def __init__(self, vocabulary: Vocabulary, block: bytes):
         self.vocabulary = vocabulary
         self.lexicon = Lexicon(block)
-        self.codes: dict[str, str] = {}
-        self.texts: dict[str, bytes] = {}
+        self.recent: dict[str, Known] = {}
+        self.earlier: dict[str, Known] = {}
 
     def ids_of(self, tokens: list[bytes]) -> list[list[int]]:
         """Ids of pre-tokens: from the lexicon, or else merged."""
@@ -322,45 +343,101 @@ class Codec:
             found[i] = ids
         return found
 
-    def learn(self, cuts: list[str]) -> None:
-        """Remember the codes of cuts not met before."""
-        tokens = [PRE_TOKENS.findall(cut) for cut in cuts]
-        distinct = list(dict.fromkeys(t for listed in tokens for t in listed))
-        ids = self.ids_of([t.encode() for t in distinct])
-        code = dict(zip(distinct, (",".join(map(str, i)) for i in ids)))
-        self.codes.update((cut, ",".join([code[t] for t in listed])) for cut, listed in zip(cuts, tokens))
-
-    def encode_all(self, texts: list[str]) -> list[list[str]]:
-        """For each text, ids as decimal texts joined by commas, one for each cut or added token."""
+    def _known(self, ids: list[int]) -> Known:
+        return ",".join(map(str, ids)), len(ids), self.vocabulary.decode(ids)
+
+    def look_up(self, pieces: list[list[str]]) -> list[list[Known]]:
+        """What is known of the pre-tokens of every piece; those not met lately are learnt, all at once."""
+        if len(self.recent) > KEPT_TOKENS // 2:
+            self.earlier, self.recent = self.recent, {}
+        lacking = set().union(*pieces).difference(self.recent)
+        again = {token: self.earlier[token] for token in lacking if token in self.earlier}
+        self.recent.update(again)
+        new = sorted(lacking.difference(again))
+        ids = self.ids_of([token.encode() for token in new])
+        self.recent.update(zip(new, map(self._known, ids)))
+        get = self.recent.__getitem__
+        return [list(map(get, piece)) for piece in pieces]
+
+    def parts(self, text: str) -> Iterator[list[str] | Known]:
+        """Pieces of a text in their order: lists of pre-tokens, and added tokens as what is known of them."""
         added = self.vocabulary.added
-        parts = [self.vocabulary.added_pattern.split(text) for text in texts]
-        cuts = [[CUTS.findall(part) if part not in added else part for part in listed] for listed in parts]
-        met = set().union(*(part for listed in cuts for part in listed if isinstance(part, list)))
-        if len(self.codes) > KEPT_CUTS:  # forget the older half, before this batch's are looked up
-            self.codes = dict(islice(self.codes.items(), len(self.codes) // 2, None))
-            self.texts = {}
-        self.learn(sorted(met.difference(self.codes)))
-        code = self.codes.__getitem__
-        out = []
-        for listed in cuts:
-            codes: list[str] = []
-            for part in listed:
-                codes += map(code, part) if isinstance(part, list) else [str(added[part])]
-            out.append(codes)
-        return out
+        # Split at a pattern's group, so every other part is an added token.
+        for number, part in enumerate(self.vocabulary.added_pattern.split(text)):
+            if number % 2:
+                yield self._known([added[part]])
+            elif part:
+                yield from pre_tokens(part)
+
+    def encode_all(self, texts: list[str], begin: Callable, add: Callable) -> list:
+        """A state per text: ``begin()``, then ``add(state, known)`` for one piece after another."""
+        states = [begin() for _ in texts]
+        waiting: list[tuple[int, list[str] | Known]] = []
+        held = 0
+
+        def settle() -> None:
+            looked = iter(self.look_up([part for _, part in waiting if isinstance(part, list)]))
+            for owner, part in waiting:
+                add(states[owner], next(looked) if isinstance(part, list) else [part])
+            waiting.clear()
+
+        for owner, text in enumerate(texts):
+            for part in self.parts(text):
+                waiting.append((owner, part))
+                held += len(part) if isinstance(part, list) else 1
+                if held >= PIECE_TOKENS:
+                    settle()
+                    held = 0
+        settle()
+        return states
+
+    def encode(self, text: str) -> list[int]:
+        codes = self.encode_all([text], list, lambda state, known: state.extend(code for code, _, _ in known))[0]
+        return [int(i) for code in codes for i in code.split(",")]
+
+    def decode(self, ids: Iterable[int]) -> bytes:
+        return self.vocabulary.decode(ids)
+
+
+class Digest:
+    """Number and hash of a text's ids, and hash of the text they decode to, piece by piece."""
+
+    COLUMNS = "ids_sha256 string, decoded_sha256 string"
+
+    def __init__(self):
+        self.count, self.ids, self.decoded = 0, hashlib.sha256(), hashlib.sha256()
+
+    def add(self, known: list[Known]) -> None:
+        if self.count:
+            self.ids.update(b",")
+        self.count += sum([n for _, n, _ in known])
+        self.ids.update(",".join([code for code, _, _ in known]).encode())
+        # Pre-tokens end between characters, so pieces decode by themselves.
+        self.decoded.update(_shown(known).encode())
 
-    def encode(self, text: str) -> list[str]:
-        return self.encode_all([text])[0]
+    def cells(self) -> tuple[str, str]:
+        return self.ids.hexdigest(), self.decoded.hexdigest()
 
-    def decode(self, codes: list[str]) -> bytes:
-        out = []
-        for code in codes:
-            text = self.texts.get(code)
-            if text is None:
-                text = self.vocabulary.decode(map(int, code.split(",")))
-                self.texts[code] = text
-            out.append(text)
-        return b"".join(out)
+
+class Whole:
+    """Ids and decoded text."""
+
+    COLUMNS = "ids array<int>, decoded string"
+
+    def __init__(self):
+        self.count, self.ids, self.decoded = 0, array("i"), []
+
+    def add(self, known: list[Known]) -> None:
+        self.count += sum([n for _, n, _ in known])
+        self.ids.extend(map(int, ",".join([code for code, _, _ in known]).split(",")))
+        self.decoded.append(_shown(known))
+
+    def cells(self) -> tuple[np.ndarray, str]:
+        return np.array(self.ids, np.int32), "".join(self.decoded)
+
+
+def _shown(known: list[Known]) -> str:
+    return b"".join([held for _, _, held in known]).decode("utf-8", "replace")
 
 
 def frequent_words(docs: DataFrame, text: str = "text", share: float = LEXICON_SHARE) -> list[str]:
@@ -383,51 +460,39 @@ def lexicon_of(words: list[str], vocabulary: Vocabulary) -> bytes:
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, n_tokens, ids array<int>, decoded), one per document."""
-    return _coded(docs, path, doc_id, text, "ids array<int>, decoded string", _whole)
+    return _coded(docs, path, doc_id, text, Whole)
 
 
 def encode_digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256), one per document."""
-    return _coded(docs, path, doc_id, text, "ids_sha256 string, decoded_sha256 string", _digest)
-
-
-def _digest(codes: list[str], decoded: bytes) -> tuple[str, str]:
-    ids = ",".join(codes).encode()
-    shown = decoded.decode("utf-8", "replace").encode()
-    return hashlib.sha256(ids).hexdigest(), hashlib.sha256(shown).hexdigest()
-
-
-def _whole(codes: list[str], decoded: bytes) -> tuple[list[int], str]:
-    ids = [int(i) for code in codes for i in code.split(",")]
-    return ids, decoded.decode("utf-8", "replace")
+    return _coded(docs, path, doc_id, text, Digest)
 
 
-def _coded(docs: DataFrame, path: str, doc_id: str, text: str, columns: str, form) -> DataFrame:
+def _coded(docs: DataFrame, path: str, doc_id: str, text: str, form: type) -> DataFrame:
     """Lexicon from the whole corpus, then one pass over the texts without a shuffle."""
     vocabulary = Vocabulary(path)
     block = lexicon_of(frequent_words(docs, text), vocabulary)
     # Both have a fixed size: the tokenizer's vocabulary and 1 / (2 LEXICON_SHARE) words of 64 bytes.
-    shared = docs.sparkSession.sparkContext.broadcast((vars(vocabulary), block))
+    shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": vars(vocabulary), "block": block})
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = whole.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n_tokens", *(c.split(" ")[0] for c in columns.split(", "))]
-    kinds = [pa.list_(pa.int32()) if "array" in c else pa.string() for c in columns.split(", ")]
+    columns = form.COLUMNS.split(", ")
+    names = ["doc_id", "n_tokens", *(c.split(" ")[0] for c in columns)]
+    kinds = [pa.list_(pa.int32()) if "array" in c else pa.string() for c in columns]
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, lexicon = shared.value
-        vocabulary = Vocabulary.__new__(Vocabulary)
-        vars(vocabulary).update(state)
-        codec = Codec(vocabulary, lexicon)
+        state = shared.value
+        if "codec" not in state:  # a worker holds one copy of the value for all its tasks
+            vocabulary = Vocabulary.__new__(Vocabulary)
+            vars(vocabulary).update(state["vocabulary"])
+            state["codec"] = Codec(vocabulary, state["block"])
+        codec = state["codec"]
         for batch in small_batches(batches, "text"):
-            counts, left, right = [], [], []
             texts = [text or "" for text in batch.column("text").to_pylist()]
-            for codes in codec.encode_all(texts):
-                counts.append(sum(code.count(",") + 1 for code in codes))
-                a, b = form(codes, codec.decode(codes))
-                left.append(a)
-                right.append(b)
-            arrays = [batch.column("doc_id"), pa.array(counts, pa.int64())]
+            found = codec.encode_all(texts, form, form.add)
+            left, right = zip(*(f.cells() for f in found))
+            arrays = [batch.column("doc_id"), pa.array([f.count for f in found], pa.int64())]
             arrays += [pa.array(v, k) for v, k in zip((left, right), kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return whole.mapInArrow(coded, f"doc_id {kind}, n_tokens long, {columns}")
+    return whole.mapInArrow(coded, f"doc_id {kind}, n_tokens long, {form.COLUMNS}")

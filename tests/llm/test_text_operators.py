@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer, models
 
 from curbside.llm import bpe_transducer as bpe
@@ -241,11 +244,10 @@ def test_codec_equals_library(codec, documents):
     texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 14))) for _ in range(4_000)]
     texts += [d[1] for d in documents] + ["ab" * 5_000, " " * 3_000, "x" * 999 + " " + "é" * 999]
     for text in texts:
-        codes = codec.encode(text)
-        ids = [int(i) for code in codes for i in code.split(",")]
+        ids = codec.encode(text)
         expected = library.encode(text, add_special_tokens=False).ids
         assert ids == expected, text[:50]
-        assert codec.decode(codes).decode("utf-8", "replace") == library.decode(expected, skip_special_tokens=False)
+        assert codec.decode(ids).decode("utf-8", "replace") == library.decode(expected, skip_special_tokens=False)
 
 
 def test_long_tokens_merge_alike(codec):
@@ -256,12 +258,42 @@ def test_long_tokens_merge_alike(codec):
         assert v._merge_rounds([token, token[:5], token])[2] == v._merge_long([v.bytes_ids[b] for b in token])
 
 
-def test_forgetting_cuts_changes_nothing(codec, documents, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_CUTS", 20)
+def test_forgetting_tokens_changes_nothing(codec, documents, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_TOKENS", 20)
     small = bpe.Codec(codec.vocabulary, codec.lexicon.block[:])
     for d in documents[:10]:
-        codes = small.encode(d[1])
-        assert codes == codec.encode(d[1]) and small.decode(codes).decode() == d[1]
+        ids = small.encode(d[1])
+        assert ids == codec.encode(d[1]) and small.decode(ids).decode() == d[1]
+
+
+def test_latin_classes_are_those_of_all_unicode():
+    for code in range(0x250):
+        letter = chr(code)
+        for name, full in (("L", r"\p{L}"), ("N", r"\p{N}"), ("W", r"\p{White_Space}")):
+            latin = re.fullmatch(f"[{bpe.LATIN_CLASSES[name]}]", letter)
+            assert bool(latin) == bool(regex.fullmatch(full, letter)), (hex(code), name)
+    rng = random.Random(11)
+    pool = [chr(c) for c in range(0x250)] + [" ", "  ", "'s", "'re", "\n"] * 20
+    for _ in range(300):
+        text = "".join(rng.choices(pool, k=40))
+        assert bpe.LATIN_TOKENS.findall(text) == bpe.PRE_TOKENS.findall(text)
+
+
+def test_texts_in_pieces_are_coded_alike(codec, documents, monkeypatch):
+    monkeypatch.setattr(bpe, "LONG_TEXT", 50)
+    monkeypatch.setattr(bpe, "PIECE_TOKENS", 7)
+    texts = [d[1] for d in documents[:30]] + ["", "é<|endoftext|>日本 語<|endoftext|><|endoftext|>  x", " \n" * 60, "🤦🏼" * 40]
+    library = Tokenizer.from_file(BPE_FILE)
+    small = bpe.Codec(codec.vocabulary, codec.lexicon.block[:])
+    for text, digest, whole in zip(
+        texts, small.encode_all(texts, bpe.Digest, bpe.Digest.add), small.encode_all(texts, bpe.Whole, bpe.Whole.add)
+    ):
+        ids = library.encode(text, add_special_tokens=False).ids
+        shown = library.decode(ids, skip_special_tokens=False)
+        assert whole.cells()[0].tolist() == ids and whole.cells()[1] == shown
+        assert digest.count == whole.count == len(ids)
+        joined = [hashlib.sha256(t.encode()).hexdigest() for t in (",".join(map(str, ids)), shown)]
+        assert list(digest.cells()) == joined
 
 
 def test_encoded_documents(make_docs, odd_rows):
