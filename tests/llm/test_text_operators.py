@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -181,6 +183,59 @@ def test_values_change_keep_their_format_and_turn_back():
     assert pii.Pseudonyms(b"other").replace(VALUES)[0] != fresh
 
 
+@pytest.mark.parametrize("length", [10, 64, 65, 7_000, 1_000_000])
+def test_long_names_change_and_turn_back(length):
+    name = ("aB3.x-" * (length // 6 + 1))[: length - 1] + "z"
+    mail = f"{name}@host.example.com"
+    start = time.perf_counter()
+    (fresh, kinds), back = pii.Pseudonyms(b"key").replace(f"to {mail} now"), pii.Pseudonyms(b"key", back=True)
+    assert kinds == ["mail"] and fresh.endswith(".com now") and name not in fresh
+    assert [c if not c.isalnum() else "" for c in fresh] == [c if not c.isalnum() else "" for c in f"to {mail} now"]
+    assert back.replace(fresh)[0] == f"to {mail} now"
+    other = f"y{name[1:]}@host.example.com"
+    assert pii.Pseudonyms(b"key").replace(other)[0] != fresh[3:-4]
+    assert time.perf_counter() - start < 20
+
+
+def test_places_of_small_alphabets_are_permuted():
+    f = pii.Feistel(b"key")
+    sizes = np.array([2, 3, 2, 3])
+    lists = list(itertools.product(*map(range, sizes)))
+    image = [tuple(f.permute_places(np.array(v), sizes, "t").tolist()) for v in lists]
+    assert sorted(image) == lists
+    assert [tuple(f.permute_places(np.array(v), sizes, "t", back=True).tolist()) for v in image] == lists
+
+
+def found_by_hand(text):
+    """Mail and IPv4 addresses of a text, by splitting it up letter by letter."""
+    counts = Counter()
+    names, hosts = set(".%+-_"), set(".-")
+    for at, letter in enumerate(text):
+        if letter == "@":
+            first = at
+            while first and text[first - 1].isascii() and (text[first - 1].isalnum() or text[first - 1] in names):
+                first -= 1
+            last = at + 1
+            while last < len(text) and text[last].isascii() and (text[last].isalnum() or text[last] in hosts):
+                last += 1
+            labels = text[at + 1 : last].rstrip(".").split(".")
+            if first < at and text[first].isalnum() and len(labels) > 1 and all(labels) and len(labels[-1]) > 1 and labels[-1].isalpha():
+                counts["mail"] += 1
+    for run in "".join(c if c in "0123456789." else " " for c in text).split():
+        parts = run.rstrip(".").split(".")
+        if len(parts) == 4 and all(p and len(p) < 4 and int(p) < 256 for p in parts):
+            counts["ip"] += 1
+    return counts
+
+
+def test_addresses_of_documents_equal_those_found_by_hand(documents):
+    names, found, wanted = pii.Pseudonyms(b"key"), Counter(), Counter()
+    for _, text, *_ in documents:
+        found.update(k for k in names.replace(text)[1] if k in ("mail", "ip"))
+        wanted.update(found_by_hand(text))
+    assert found == wanted and wanted["mail"]
+
+
 def test_equal_values_stay_linked_however_they_are_written():
     names = pii.Pseudonyms(b"key")
     plain, spaced = names.replace("4111111111111111")[0], names.replace("a 4111 1111 1111 1111 b")[0]
