@@ -26,7 +26,6 @@ empty result. Other columns are not read.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -276,12 +275,13 @@ def search(
     ``is_query`` tells from the column ``vec_id`` which rows are queries.
     """
     sound = usable(rows, vec_id, vector)
-    drawn = [r["vector"] for r in sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()]
-    lengths = Counter(map(len, drawn)).most_common()
-    dimension = min((n for n, c in lengths if c == lengths[0][1]), default=1)
-    sample = np.array([v for v in drawn if len(v) == dimension] or [[0.0] * dimension])
-    hashing = fit(sample, tables, lines, width)
+    # The length that most of all rows have, of equally frequent ones the smallest.
+    lengths = sound.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("rows"))
+    commonest = lengths.orderBy(F.col("rows").desc(), "size").first()
+    dimension = commonest["size"] if commonest else 1
     sound = sound.where(F.size("vector") == dimension)
+    drawn = [r["vector"] for r in sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()]
+    hashing = fit(np.array(drawn or [[0.0] * dimension]), tables, lines, width)
 
     # One more than asked for: a query finds itself.
     classes = staged(_classes(sound, k + 1), "ann-classes")

@@ -7,9 +7,9 @@ bytes for longer ones), so equal words of a batch run through the network once
 and count as often as they occur. Texts are lower-cased first.
 
 Training is in numpy on the driver: backpropagation through time on words of a
-bounded sample, at most ``TRAIN_DOCS`` documents of at most ``TRAIN_CHARS``
-characters, languages in turn, chosen by a hash of the id. Prediction reads
-every text whole, without a shuffle.
+bounded sample, at most ``TRAIN_DOCS`` documents, languages in turn, chosen by a hash
+of the id, and of a longer one ``TRAIN_CHARS`` characters from a hashed place.
+Prediction reads every text whole, without a shuffle.
 
 Defined results: NULL text and text without a letter are ``und`` with score 0;
 so is everything if no document teaches a language; repeated rows are each
@@ -28,11 +28,13 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from curbside.llm.text import crc_remainder, small_batches
+from curbside.llm.text import crc_remainder, small_batches, stretch
 
 UNKNOWN = "und"
 TRAIN_DOCS = 1_000
 TRAIN_CHARS = 20_000
+# Parts in which a language's rows are cut down before they meet.
+TURN_PARTS = 32
 HIDDEN = 12
 PIECE = 32
 STEPS = 500
@@ -265,12 +267,19 @@ def training_sample(docs: DataFrame, usable, doc_id: str, text: str, lang: str)
     named = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(lang).alias("lang"),
-        (F.col(text).rlike(r"\p{L}") & (F.char_length(F.col(text)) <= TRAIN_CHARS)).alias("fit"),
+        F.col(text).rlike(r"\p{L}").alias("fit"),
     ).where(F.col("lang").isNotNull() & F.col("fit") & F.col("doc_id").isNotNull() & usable(F.col("doc_id")))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    # No language can give more than the whole sample, which bounds what is sorted for it.
+    # No language can give more than the whole sample. Its rows are cut down to that in parts
+    # first, so that what is sorted in one place does not grow with the rows or the tasks.
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(TURN_PARTS))
+    near = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
     drawn = (
-        named.select("doc_id", "lang", turn.alias("turn"))
+        named.withColumn("part", part)
+        .withColumn("near", near)
+        .where(F.col("near") <= TRAIN_DOCS)
+        .select("doc_id", "lang", turn.alias("turn"))
         .where(F.col("turn") <= TRAIN_DOCS)
         .orderBy("turn", "lang")
         .limit(TRAIN_DOCS)
@@ -278,7 +287,8 @@ def training_sample(docs: DataFrame, usable, doc_id: str, text: str, lang: str)
         .distinct()
     )
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    found = whole.where(F.char_length("text") <= TRAIN_CHARS).join(F.broadcast(drawn), ["doc_id", "lang"])
+    found = whole.where(F.col("text").isNotNull()).join(F.broadcast(drawn), ["doc_id", "lang"])
+    found = found.withColumn("text", stretch(F.col("text"), F.col("doc_id"), TRAIN_CHARS))
     return found.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "text").limit(TRAIN_DOCS).collect()
 
 

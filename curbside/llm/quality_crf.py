@@ -7,9 +7,10 @@ document's quality is the mean of its lines' forward-backward marginals,
 weighted by line length, put on a probability scale by a two-parameter logistic
 fitted to the same training documents.
 
-The fit uses a bounded sample: ``TRAIN_DOCS`` labelled documents of at most
-``TRAIN_CHARS`` characters, chosen by a hash of their id. Scoring reads every
-text whole, without a shuffle.
+The fit uses a bounded sample: ``TRAIN_DOCS`` labelled documents, chosen by a hash of
+their id, of a longer one ``TRAIN_CHARS`` characters from a hashed place, and of
+these at most ``TRAIN_LINES`` lines. Scoring reads every text whole, without a
+shuffle.
 
 Defined results: a NULL or wordless text is scored as one empty line; repeated
 rows are each scored; without labels of both kinds every score is the share of
@@ -25,10 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from curbside.llm.text import crc_remainder, small_batches
+from curbside.llm.text import crc_remainder, small_batches, stretch
 
 TRAIN_DOCS = 3_000
 TRAIN_CHARS = 20_000
+TRAIN_LINES = 400
 STEPS = 200
 RATE = 0.05
 RIDGE = 1e-3
@@ -273,11 +275,11 @@ def training_sample(
         .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
         .limit(TRAIN_DOCS)
     )
-    short = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(
-        F.char_length("text") <= TRAIN_CHARS
-    )
+    whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     # The sample has a fixed number of narrow rows.
-    found = short.join(F.broadcast(drawn), "doc_id")
+    found = whole.join(F.broadcast(drawn), "doc_id")
+    part = F.substring_index(stretch(F.col("text"), F.col("doc_id"), TRAIN_CHARS), "\n", TRAIN_LINES)
+    found = found.withColumn("text", part)
     return found.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "quality").limit(TRAIN_DOCS).collect()
 
 

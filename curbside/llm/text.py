@@ -36,6 +36,13 @@ def crc_remainder(key: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(digits.cast("binary")), F.lit(modulus)).cast("int")
 
 
+def stretch(text: Column, key: Column, chars: int) -> Column:
+    """The text, or of a longer one ``chars`` characters from a place that the key's hash chooses."""
+    spare = F.char_length(text) - chars
+    start = F.pmod(F.xxhash64(key), F.greatest(spare, F.lit(0)) + 1).cast("int") + 1
+    return F.when(spare > 0, F.substring(text, start, F.lit(chars))).otherwise(text)
+
+
 def bound(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once, however often it is used."""
     return F.transform(F.array(value), use)[0]

@@ -158,3 +158,27 @@ def test_rules_query_equals_sql(spark, sf):
 def test_windows_of_short_texts(make_docs, words):
     row = rules.host_rules(make_docs([(1, " ".join("a" * words), "en", "a")])).first()
     assert row["n_repeat_words"] == brute_measures(" ".join("a" * words))[4]
+
+
+def test_long_texts_teach_by_a_stretch(spark):
+    from pyspark.sql import functions as F
+
+    from curbside.llm.text import stretch
+
+    long = "".join(f"{i:05d}" for i in range(400))
+    table = spark.createDataFrame([(i, long) for i in range(50)] + [(50, "short"), (51, ""), (52, None)], "doc_id long, text string")
+    cut = {r[0]: r[1] for r in table.select("doc_id", stretch(F.col("text"), F.col("doc_id"), 100)).collect()}
+    assert (cut[50], cut[51], cut[52]) == ("short", "", None)
+    assert all(len(cut[i]) == 100 and cut[i] in long for i in range(50)) and len({cut[i] for i in range(50)}) > 40
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, quality int")
+    rows = crf.training_sample(table, labels, lambda key: F.lit(True))
+    assert len(rows) == 50 and all(r["text"] in long for r in rows)
+
+
+def test_lines_that_teach_are_bounded(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(crf, "TRAIN_LINES", 3)
+    table = spark.createDataFrame([(1, "a\nb\nc\nd\ne"), (2, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    assert {r["text"] for r in crf.training_sample(table, labels, lambda key: F.lit(True))} == {"a\nb\nc", "x"}
