@@ -17,8 +17,10 @@ from curbside.models.duration import (
     univariate_line,
 )
 from curbside.operators import holidays, joins, outliers, quality, sampling, stats
+from curbside.operators.quantile_state import count_state, refined_quantiles
 from curbside.operators.quantiles import approx_quantiles, exact_quantiles
 from curbside.sources import schema
+from curbside.workspace import staged
 
 
 def rounded(df, *columns, digits=6):
@@ -313,6 +315,14 @@ def speed_quartiles_narrowed(spark, sf):
     return rounded(found, "quantile")
 
 
+@query("speed_quartiles_merged", QUARTILE_SQL.format(source="quartiles"))
+def speed_quartiles_merged(spark, sf):
+    """From the states of single days, stored and merged; of the trips only two ranges are read again."""
+    trips = staged(steps.cleaned(spark, sf).select(F.to_date(PICKUP).alias("day"), "speed"), "speeds")
+    days = staged(count_state(trips, "speed", ["day"]), "speed-states")
+    return rounded(refined_quantiles(days, trips, "speed", [0.25, 0.75]), "quantile")
+
+
 @query(
     "value_quartiles_by_type",
     "select event_type, probability, n, quantile from ("
@@ -328,6 +338,21 @@ def value_quartiles_by_type(spark, sf):
     return rounded(found, "quantile")
 
 
+@query(
+    "value_quartiles_by_type_merged",
+    "select event_type, probability, n, quantile from ("
+    + QUARTILE_SQL.replace("select p", "select event_type, p").format(
+        source="""(select event_type, count(*) as n, quantile_cont(value, 0.25) as q1,
+          quantile_cont(value, 0.75) as q3 from events group by event_type)"""
+    )
+    + ")",
+)
+def value_quartiles_by_type_merged(spark, sf):
+    values = views.events(spark, sf).select("event_type", F.to_date("ts").alias("day"), "value")
+    days = staged(count_state(values, "value", ["event_type", "day"]), "value-states")
+    return rounded(refined_quantiles(days, values, "value", [0.25, 0.75], ["event_type"]), "quantile")
+
+
 @query(
     "speed_quartiles_approx",
     """select p as probability, count(*) as n, true as within_error

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from curbside.catalog import steps, views
 from curbside.catalog.registry import query
+from curbside.constants import PICKUP
 from curbside.operators.joins import join_zones
 from curbside.sources import schema, tables
+from curbside.sources.landing import take_in_months
+from curbside.sources.publication import publish_table, read_published
 from curbside.workspace import stage_path
 
 # How a NULL integer or boolean is shown differs between clients, so the queries
@@ -132,6 +135,38 @@ def schema_integration(spark, sf):
     return shown(tables.read_trips(spark, raw))
 
 
+@query(
+    "landing_rerun",
+    f"""select {SHOWN_SQL}, 'train_set' as set_name, 2024 as year,
+         cast(least((day(tpep_pickup_datetime) - 1) // 10, 2) + 1 as int) as month
+       from (select * replace (
+               case when day(tpep_pickup_datetime) <= 20 then ratecodeid end as ratecodeid)
+             from conformed)""",
+)
+def landing_rerun(spark, sf):
+    """Months taken in one after the other; the first lands again with other files before the last run."""
+    landing, raw = stage_path(spark, "landing"), stage_path(spark, "raw")
+    paths = tables.month_paths(landing, "train_set", LANDED_MONTHS)
+    months = list(zip(_landing_months(spark, sf), paths))
+    first, path = months[0]
+    first.where("event_id % 2 = 0").write.parquet(path)
+    take_in_months(spark, landing, raw, "train_set", {2024: [1]})
+    for month, path in months:
+        month.write.mode("overwrite").parquet(path)
+    take_in_months(spark, landing, raw, "train_set", LANDED_MONTHS)
+    return shown(tables.read_trips(spark, raw))
+
+
+@query("published_trips", "select event_id, tpep_pickup_datetime, trip_distance from trips where event_id % 3 <> 0")
+def published_trips(spark, sf):
+    """A published table replaced by a part of itself, as a plain overwrite could not."""
+    path = stage_path(spark, "published")
+    trips = views.trips(spark, sf).select("event_id", PICKUP, "trip_distance")
+    publish_table(trips, path)
+    publish_table(read_published(spark, path).where("event_id % 3 <> 0"), path)
+    return read_published(spark, path)
+
+
 @query(
     "canonical_schema",
     """select * from (
