@@ -167,6 +167,39 @@ def published_trips(spark, sf):
     return read_published(spark, path)
 
 
+@query(
+    "clustered_months",
+    f"""select {SHOWN_SQL}, 'train_set' as set_name, 2024 as year,
+         cast(least((day(tpep_pickup_datetime) - 1) // 10, 2) + 1 as int) as month
+       from (select * replace (
+               case when day(tpep_pickup_datetime) <= 20 then ratecodeid end as ratecodeid)
+             from conformed)
+       where tpep_pickup_datetime between timestamp '2024-01-08' and timestamp '2024-01-13 12:00:00'""",
+)
+def clustered_months(spark, sf):
+    """Days out of two months that were clustered by pickup."""
+    landing, raw = stage_path(spark, "landing"), stage_path(spark, "raw")
+    paths = tables.month_paths(landing, "train_set", LANDED_MONTHS)
+    for month, path in zip(_landing_months(spark, sf), paths):
+        month.write.parquet(path)
+    tables.integrate_months(spark, landing, raw, "train_set", LANDED_MONTHS, clustered_by=PICKUP)
+    first, last = (F.lit(t).cast("timestamp_ntz") for t in ("2024-01-08 00:00:00", "2024-01-13 12:00:00"))
+    return shown(tables.read_trips(spark, raw).where(F.col(PICKUP).between(first, last)))
+
+
+@query(
+    "boroughs_of_zones",
+    """select event_id, Borough from merged
+       where Borough in (select Borough from zones where LocationID in (3, 7))""",
+)
+def boroughs_of_zones(spark, sf):
+    """Trips of the boroughs that two zones lie in; only their directories are read."""
+    path = stage_path(spark, "analysis")
+    tables.write_by_borough(steps.merged(spark, sf).select("event_id", "Borough"), path)
+    named = views.zones(spark, sf).where(F.col("LocationID").isin(3, 7))
+    return tables.read_boroughs_of(spark, path, named).select("event_id", "Borough")
+
+
 @query(
     "canonical_schema",
     """select * from (

@@ -59,12 +59,18 @@ def integrate_months(
     set_name: str,
     months: Months,
     schema: StructType = TRIP_SCHEMA,
+    clustered_by: str | None = None,
 ) -> str:
     """Conform landing months to one schema and write them to the raw layer.
 
     Months of equal physical schema share a scan; the scans are unioned and
     written at once, partitioned by set, year and month. No row is shuffled:
     every task writes the month it reads. Returns the raw path.
+
+    With ``clustered_by``, say the pickup, rows are dealt by ranges of month and that
+    column and sorted by it, one shuffle for good: later conditions on the column
+    skip the files and row groups outside them. Ranges hold about as many rows each,
+    so a month and a hot day are split over several tasks.
     """
     paths = month_paths(landing, set_name, months)
     if not paths:
@@ -90,6 +96,9 @@ def integrate_months(
         )
         conformed = conform_schema(tagged, month_schema)
         merged = conformed if merged is None else merged.unionByName(conformed)
+    if clustered_by:
+        merged = merged.repartitionByRange("year", "month", clustered_by)
+        merged = merged.sortWithinPartitions("year", "month", clustered_by)
     write_table(
         merged.withColumn("set_name", F.lit(set_name)),
         raw,
@@ -134,3 +143,16 @@ def read_boroughs(
     """Per-borough table; a list of boroughs prunes the directories read."""
     table = read_trips(spark, path, schema=schema)
     return table if boroughs is None else table.where(F.col("Borough").isin(list(boroughs)))
+
+
+def read_boroughs_of(
+    spark: SparkSession, path: str, places: DataFrame, schema: StructType | None = None
+) -> DataFrame:
+    """Rows of the boroughs that ``places`` has, say a part of the zone table.
+
+    The boroughs are found when the query runs: they are broadcast to the join and
+    prune the directories that the scan opens, without a list in the driver. Spark
+    does so where ``places`` is cut down by a condition.
+    """
+    boroughs = places.select("Borough")
+    return read_trips(spark, path, schema=schema).join(F.broadcast(boroughs), "Borough", "left_semi")

@@ -225,3 +225,76 @@ def test_months_not_asked_for_stay_and_missing_ones_are_refused(spark):
         take_in_months(spark, landing, raw, "other_set", {2022: [12]})
     listed = spark.createDataFrame(landed_files(spark, landing, "train_set", {2023: [1]}), read_manifest(spark, raw).schema)
     assert changed_months(listed, listed).count() == 0
+
+
+# --- pruning ---------------------------------------------------------------------------
+
+
+def test_boroughs_of_a_dimension_prune_directories(spark):
+    path = stage_path(spark, "by-borough")
+    names = F.element_at(F.array(*[F.lit(b) for b in ("Queens", "Bronx", "EWR", "Brooklyn")]), (F.col("id") % 4 + 1).cast("int"))
+    tables.write_by_borough(spark.range(400).withColumn("Borough", names), path)
+    zones = spark.createDataFrame([("Queens", "Yellow"), ("Queens", "Boro"), ("EWR", "EWR"), ("Bronx", "Boro")], "Borough string, service_zone string")
+    zones = staged(zones, "zones")
+    found = tables.read_boroughs_of(spark, path, zones.where("service_zone = 'Boro'"))
+    assert rows(found, "Borough", "id") == sorted((b, i) for i in range(400) for b in ("Queens", "Bronx") if i % 4 == ("Queens", "Bronx").index(b))
+    assert "dynamicpruning" in plan_text(found).lower()
+    # What was read: the files of the two boroughs, counted by the scan itself.
+    again = tables.read_boroughs_of(spark, path, zones.where("service_zone = 'Boro'"))
+    again.collect()
+    assert [files for text, files in scans_of(again) if "Borough" in text and "id#" in text] == [2]
+
+
+def scans_of(df):
+    """Text and number of files of the executed plan's scans."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.length())]
+        if name.startswith("FileSourceScan"):
+            found.append((node.simpleString(1000), node.metrics().apply("numFiles").value()))
+    return found
+
+
+def test_clustered_months_let_a_window_skip_row_groups(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    landing, hour = stage_path(spark, "landing"), 3600
+    start = "timestamp_ntz'2022-12-01 00:00:00'"
+    # Times in no order, a fifth of them on one day.
+    spread = F.when(F.col("id") % 5 == 0, 9 * 24 * hour + F.pmod(F.xxhash64("id"), F.lit(24 * hour))).otherwise(
+        F.pmod(F.xxhash64("id"), F.lit(31 * 24 * hour))
+    )
+    pickup = F.timestamp_add("SECOND", spread, F.expr(start))
+    december_trips = spark.range(0, 20_000, 1, 4).select(pickup.alias("tpep_pickup_datetime"), F.lit(1.0).alias("trip_distance"))
+    december_trips.write.parquet(tables.month_path(landing, "train_set", 2022, 12))
+    counts, kept = {}, {}
+    for clustered in (None, "tpep_pickup_datetime"):
+        raw = stage_path(spark, "raw")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            tables.integrate_months(spark, landing, raw, "train_set", {2022: [12]}, clustered_by=clustered)
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        inside = F.col("tpep_pickup_datetime").between(F.expr("timestamp_ntz'2022-12-03 00:00:00'"), F.expr("timestamp_ntz'2022-12-04 00:00:00'"))
+        kept[clustered] = spark.read.parquet(raw).where(inside).count()
+        groups = []
+        for file in glob.glob(f"{raw.removeprefix('file:')}/*/*/*/*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            place = meta.schema.names.index("tpep_pickup_datetime")
+            groups += [meta.row_group(i).column(place).statistics for i in range(meta.num_row_groups)]
+        read = [g for g in groups if str(g.max) >= "2022-12-03" and str(g.min) <= "2022-12-04 00:00:00"]
+        counts[clustered] = (len(read), len(groups))
+    assert kept[None] == kept["tpep_pickup_datetime"] > 0
+    assert counts[None][0] == counts[None][1]
+    # The hot day fills ranges of its own, so the month is still written by several tasks.
+    assert counts["tpep_pickup_datetime"][1] >= 4 and counts["tpep_pickup_datetime"][0] <= 2
