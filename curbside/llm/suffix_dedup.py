@@ -6,7 +6,10 @@ earlier in the corpus. Only suffixes that can match are sorted:
 1. Anchors: in every window of ``LENGTH`` bytes, the places whose ``GRAM`` bytes
    have the least hash. Equal windows hold equal anchors at equal places, so a
    match is found among the occurrences of one anchor, and anchors that occur
-   once take no further part.
+   once take no further part. Windows that repeat up to ``MAX_PERIOD`` bytes over
+   and over would be all anchors: they need none. Of each such run, its first
+   period's windows are named by 128 bits; an equal one earlier removes them, and
+   the run's other windows repeat these.
 2. An anchor's surroundings are all bytes a window around it can reach. Where
    an earlier occurrence has equal surroundings (128 bits name them), all of them
    go without any sorting. The first occurrence of each is kept as a row, if the
@@ -22,6 +25,9 @@ earlier in the corpus. Only suffixes that can match are sorted:
 4. Buckets of more than ``BUCKET_ROWS`` rows are cut; the strings left in each
    part are then compared across parts by their 128-bit names.
 
+An anchor or surroundings of more than ``HOT_ROWS`` occurrences is dealt over
+several tasks wherever occurrences are joined.
+
 Defined results: a NULL text is empty; shorter texts lose nothing; rows repeated
 with one id are one document and do not remove each other; rows without an id
 take no part and lose nothing. Other columns are not read.
@@ -50,6 +56,11 @@ STARTS = BEFORE + 1
 BLOCK_BYTES = 2 << 20
 BLOCK_ROWS = 8_192
 BUCKET_ROWS = 65_536
+# Occurrences of one anchor that are joined in one task.
+HOT_ROWS = 8_192
+# Longest repeated unit of windows that need no anchors; less than half of GRAM, so that
+# a gram tells the unit.
+MAX_PERIOD = 15
 # Runs to remove are sent to all tasks up to this size, else joined by document.
 RUNS_BYTES = 64 << 20
 
@@ -89,10 +100,61 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return _mix(out) | np.uint64(1)
 
 
-def _anchor_places(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of texts that lie one after another."""
+def _periodic_runs(data: np.ndarray, ends: np.ndarray, places: np.ndarray, grams: np.ndarray) -> list[tuple[int, int, int]]:
+    """(from, to, period) of longest runs of ``LENGTH`` bytes and more that repeat a short unit.
+
+    In such a run the unit's turn of least hash is an anchor once a period, so runs
+    show as equal anchors in equal steps.
+    """
+    gap = np.diff(places)
+    step = np.where((gap <= MAX_PERIOD) & (grams[1:] == grams[:-1]), gap, 0)
+    opens = np.flatnonzero(np.diff(step, prepend=-1))
+    closes = np.r_[opens[1:], len(step)]
+    period = step[opens]
+    likely = (period > 0) & (places[closes] - places[opens] + GRAM + 2 * period >= LENGTH)
+    runs = set()
+    for first, last, unit in zip(places[opens[likely]].tolist(), places[closes[likely]].tolist(), period[likely].tolist()):
+        text = int(np.searchsorted(ends, first, side="right")) - 1
+        low, high = first, last + GRAM
+        while low > ends[text] and data[low - 1] == data[low - 1 + unit]:
+            low -= 1
+        while high < ends[text + 1] and data[high] == data[high - unit]:
+            high += 1
+        if high - low >= LENGTH:
+            runs.add((low, high, unit))
+    return sorted(runs)
+
+
+def _run_windows(data: np.ndarray, runs: list, start: int, end: int) -> tuple[np.ndarray, ...]:
+    """(anchor, name, place, length) of the windows that stand for runs, those from ``start`` to ``end``.
+
+    The first period's windows are named by their bytes; one more row, named as the
+    first of them, covers all that follow, which repeat a window before them. These
+    anchors are even, those of grams odd.
+    """
+    anchor, name, place, length = [], [], [], []
+    for low, high, unit in runs:
+        first, last = max(low, start), min(high - LENGTH, end - 1)
+        if last < first:
+            continue
+        heads = np.arange(first, min(first + unit - 1, last) + 1)
+        bytes_ = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[heads].astype(np.uint64) + np.uint64(1)
+        one, two = (_mix(bytes_ + weights[:LENGTH]).sum(1, dtype=np.uint64) for weights in _PLACE)
+        one &= ~np.uint64(1)
+        rest = slice(0, int(last >= first + unit))
+        anchor += [one, one[rest]]
+        name += [two, two[rest]]
+        place += [heads, heads[rest] + unit]
+        length += [np.full(len(heads), LENGTH), np.full(rest.stop, last + LENGTH - first - unit)]
+    if not anchor:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    return tuple(np.concatenate(v).view(np.int64) for v in (anchor, name, place, length))
+
+
+def _anchor_places(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """Places and hashes of the anchors of texts that lie one after another, and the periodic runs."""
     if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), []
     grams = _grams(data)
     least = _sliding(grams, STARTS, np.minimum)
     # Windows that reach into the next text do not count.
@@ -104,7 +166,12 @@ def _anchor_places(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.n
     padded = np.zeros(len(grams) + BEFORE, np.uint64)
     padded[BEFORE : BEFORE + len(least)] = least
     places = np.flatnonzero(_sliding(padded, STARTS, np.maximum) == grams)
-    return places, grams[places]
+    runs = _periodic_runs(data, ends, places, grams[places]) if len(places) > 1 else []
+    if runs:
+        for low, high, _ in runs:
+            padded[BEFORE + low : BEFORE + high - LENGTH + 1] = 0
+        places = np.flatnonzero(_sliding(padded, STARTS, np.maximum) == grams)
+    return places, grams[places], runs
 
 
 def _surroundings(data: np.ndarray, ends: np.ndarray, places: np.ndarray):
@@ -169,29 +236,40 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _anchors(texts: DataFrame, named: bool) -> DataFrame:
-    """Rows (anchor, name, doc, place, marks, before, after); without ``named``, (anchor, several) by block."""
+    """Rows (anchor, name, doc, place, marks, before, after); without ``named``, (anchor, times) by block."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", BLOCK_BYTES):
             for data, ends, ids, shifts, start, end in _pieces(batch):
-                places, grams = _anchor_places(data, ends)
+                places, grams, runs = _anchor_places(data, ends)
                 mine = (places >= start) & (places < end)
                 places, grams = places[mine], grams[mine].view(np.int64)
+                units, unit_names, heads, lengths = _run_windows(data, runs, start, end)
                 if not named:
-                    each, times = np.unique(grams, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(times > 1)], names=["anchor", "several"])
+                    each, times = np.unique(np.r_[grams, units], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(times)], names=["anchor", "times"])
                     continue
                 rows, text, before, after = _surroundings(data, ends, places)
-                columns = [grams, _names(rows, before, after).view(np.int64), ids[text], places - ends[text] + shifts[text], _marks(rows), before, after]
+                where = np.r_[text, np.searchsorted(ends, heads, side="right") - 1]
+                none = np.zeros(len(heads), np.int64)
+                columns = [
+                    np.r_[grams, units],
+                    np.r_[_names(rows, before, after).view(np.int64), unit_names],
+                    ids[where],
+                    np.r_[places, heads] - ends[where] + shifts[where],
+                    np.r_[_marks(rows), none],
+                    np.r_[before, none],
+                    np.r_[after, lengths],
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.astype(np.int64 if i < 5 else np.int16)) for i, c in enumerate(columns)],
+                    [pa.array(c.astype(np.int64 if i < 5 else np.int32)) for i, c in enumerate(columns)],
                     names=["anchor", "name", "doc", "place", "marks", "before", "after"],
                 )
 
     sound = texts.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
     if not named:
-        return sound.mapInArrow(found, "anchor long, several boolean")
-    return sound.mapInArrow(found, "anchor long, name long, doc long, place long, marks long, before short, after short")
+        return sound.mapInArrow(found, "anchor long, times long")
+    return sound.mapInArrow(found, "anchor long, name long, doc long, place long, marks long, before int, after int")
 
 
 def suffix_matches(rows: np.ndarray, bucket: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -376,26 +454,39 @@ def _merged(spans: DataFrame) -> DataFrame:
     )
 
 
+def _met(rows: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (doc, place, …) with the row of their key in ``keyed``, which says how many ``times`` it occurs.
+
+    Keys of more than ``HOT_ROWS`` rows are dealt over several tasks by document and
+    place. These keys are at most one in ``HOT_ROWS`` rows; they are looked up.
+    """
+    parts = F.ceil(F.col("times") / HOT_ROWS).cast("int")
+    hot = keyed.where(F.col("times") > HOT_ROWS).select(*keys, parts.alias("parts"))
+    salt = F.pmod(F.xxhash64("doc", "place"), F.coalesce("parts", F.lit(1))).cast("int")
+    dealt = lookup_join(rows, hot, keys, "left").withColumn("part", salt).drop("parts")
+    copies = keyed.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("times")
+    return dealt.join(copies, [*keys, "part"]).drop("part")
+
+
 def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, runs array<struct<low, high>>) of documents that lose bytes."""
     texts = _texts(docs, doc_id, text)
-    counted = _anchors(texts, named=False).groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("blocks"), F.max("several").alias("several")
-    )
-    shared = counted.where("blocks > 1 OR several").select("anchor")
-    occurrences = staged(_anchors(texts, named=True).join(shared, "anchor"), "suffix-anchors")
+    counted = _anchors(texts, named=False).groupBy("anchor").agg(F.sum("times").alias("times"))
+    shared = staged(counted.where("times > 1"), "suffix-shared")
+    occurrences = staged(_met(_anchors(texts, named=True), shared, ["anchor"]), "suffix-anchors")
 
     first = occurrences.groupBy("anchor", "name").agg(
         F.min(F.struct("doc", "place", "marks")).alias("first"), F.count(F.lit(1)).alias("times")
     )
     first = staged(first, "suffix-surroundings")
     same_place = (F.col("doc") == F.col("first.doc")) & (F.col("place") == F.col("first.place"))
-    again = occurrences.join(first.where("times > 1").drop("times"), ["anchor", "name"])
+    again = _met(occurrences.drop("marks"), first.where("times > 1"), ["anchor", "name"])
     inner = again.where(~same_place).select(
         "doc", (F.col("place") - F.col("before")).alias("low"), (F.col("place") + F.col("after")).alias("high")
     )
 
-    rows = first.select("anchor", "first.doc", "first.place", "first.marks")
+    grams_only = F.col("anchor").bitwiseAND(F.lit(1)) == 1
+    rows = first.where(grams_only).select("anchor", "first.doc", "first.place", "first.marks")
     partnered = []
     for mark in (F.shiftright("marks", 16), F.col("marks").bitwiseAND(0xFFFF)):
         marked = rows.withColumn("mark", mark)

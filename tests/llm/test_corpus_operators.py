@@ -336,6 +336,41 @@ def test_long_texts_are_read_in_parts(make_docs, monkeypatch):
     assert {r["doc_id"]: tuple(r[1:]) for r in result} == expected
 
 
+def periodic(rng):
+    """Texts full of runs that repeat one to twenty bytes, of lengths about 100 and far above."""
+    rows = []
+    for i in range(40):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            unit = rng.choice(["-", "=", "ab", "ba", "=-=", "aab", "é", "0123456", "abcdefghijklmn_", "abcdefghijklmn_o", "abcdefghij0123456789"])
+            shift = rng.randrange(len(unit))
+            run = (unit[shift:] + unit * 80)[: rng.choice([60, 99, 100, 101, 115, 131, 400, 1_300])]
+            parts += [run, "".join(rng.choice("ab-=c") for _ in range(rng.choice([0, 0, 1, 5, 120])))]
+        rows.append((i, "".join(parts)))
+    return rows + [(40, "-" * 100), (41, "-" * 99), (42, "ab" * 50), (42, "ab" * 50), (None, "-" * 200)]
+
+
+@pytest.mark.parametrize("seed, bytes_, hot", [(1, 2 << 20, 8_192), (2, 1_000, 2), (3, 300, 1)])
+def test_periodic_runs_equal_brute_force(make_docs, monkeypatch, seed, bytes_, hot):
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", bytes_)
+    monkeypatch.setattr(suffix, "HOT_ROWS", hot)
+    rows = periodic(random.Random(seed))
+    expected = removed(rows)
+    for r in suffix.repeat_digests(make_docs(rows)).collect():
+        if r["doc_id"] is not None:
+            assert tuple(r[1:]) == expected[r["doc_id"]], r
+
+
+def test_long_constant_texts_give_few_anchors(make_docs, spark):
+    size = 5_000_000
+    docs = make_docs([(1, "x" * size), (2, "x" * size), (3, "ab" * 50 + "c"), (4, "xy" * 400_000)])
+    texts = suffix._texts(docs, "doc_id", "text")
+    assert suffix._anchors(texts, named=True).count() < 100
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix.repeat_digests(docs).collect()}
+    # Strings of one letter start again one byte on, those of two letters two bytes on.
+    assert got == {1: (size, size - 1, 1), 2: (size, size, 1), 3: (101, 0, 0), 4: (800_000, 799_998, 1)}
+
+
 def test_difference_cover():
     reached = {(a - b) % suffix.PERIOD for a in suffix.COVER for b in suffix.COVER}
     assert reached == set(range(suffix.PERIOD))
