@@ -154,6 +154,36 @@ def test_rules_query_equals_sql(spark, sf):
     assert as_rows(result.collect()) == as_rows(answer.fetchall())
 
 
+def test_chance_does_not_pass_for_a_spread(spark):
+    rows = [(f"h{i}", (7 * i + 3 * j) % 10 < 3) for i in range(40) for j in range(1 + i % 4)]
+    rates = rules.host_rates(spark.createDataFrame(rows, "host string, base_failed boolean")).collect()
+    mean = sum(f for _, f in rows) / len(rows)
+    assert max(r["rate"] for r in rates) - min(r["rate"] for r in rates) < 0.25 and {r["n"] for r in rates} == {1, 2, 3, 4}
+    alone = spark.createDataFrame([(f"h{i}", i < 3) for i in range(10)], "host string, base_failed boolean")
+    assert {round(r["rate"], 12) for r in rules.host_rates(alone).collect()} == {0.3} and 0 < mean < 1
+
+
+def test_hosts_fail_by_each_rule_as_in_sql(make_docs, tmp_path):
+    good = [" ".join(f"w{i}x{j}" for i in range(30)) for j in range(400)]
+    rows = [(i, "too short", "en", "short.example") for i in range(30)]
+    rows += [(100 + i, good[i] + " # # # # & &", "en", "marks.example") for i in range(40)]
+    rows += [(200 + i, "\n".join([good[i], "one line", "one line", "one line"]), "en", "lines.example") for i in range(40)]
+    rows += [(300 + i, good[i], "en", host) for i, host in enumerate(["short.example", "marks.example", "lines.example"] * 4)]
+    rows += [(400 + i, good[i], "en", None if i % 2 else "fine.example") for i in range(200)]
+    rows += [(700, "# # #", "en", "one.example"), (701, None, None, "none.example"), (702, "", "en", None)]
+    docs = make_docs(rows)
+    docs.write.parquet(str(tmp_path / "docs"))
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{tmp_path}/docs/*.parquet'")
+    answer = duck.execute(rules.SQL)
+    names = [c[0] for c in answer.description]
+    result = rules.host_rules(docs)
+    assert as_rows(result.select(*names).collect()) == as_rows(answer.fetchall())
+    kept = {r["doc_id"]: r["kept"] for r in result.collect()}
+    assert not any(kept[i] for i in kept if i < 400)
+    assert all(kept[i] for i in range(400, 600))
+
+
 @pytest.mark.parametrize("words", range(0, 12))
 def test_windows_of_short_texts(make_docs, words):
     row = rules.host_rules(make_docs([(1, " ".join("a" * words), "en", "a")])).first()
