@@ -33,12 +33,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from curbside.llm.text import small_batches, words_of
+from curbside.llm.text import map_texts, small_batches, words_of
 
 # Occurrences per byte from which a word is compiled into the lexicon: at most 250,000 words.
 LEXICON_SHARE = 2e-6
 # Pre-tokens that a worker remembers.
-KEPT_TOKENS = 400_000
+KEPT_TOKENS = 200_000
 # Characters from which a text is taken in pieces, and pre-tokens of a piece.
 LONG_TEXT, PIECE_TOKENS = 4 << 20, 200_000
 # Bytes from which a pre-token is merged with a queue.
@@ -495,4 +495,4 @@ def _coded(docs: DataFrame, path: str, doc_id: str, text: str, form: type) -> Da
             arrays += [pa.array(v, k) for v, k in zip((left, right), kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return whole.mapInArrow(coded, f"doc_id {kind}, n_tokens long, {form.COLUMNS}")
+    return map_texts(whole, coded, f"doc_id {kind}, n_tokens long, {form.COLUMNS}")

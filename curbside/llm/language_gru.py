@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from curbside.llm.text import crc_remainder, small_batches, stretch
+from curbside.llm.text import crc_remainder, map_texts, small_batches, stretch
 
 UNKNOWN = "und"
 TRAIN_DOCS = 1_000
@@ -312,7 +312,7 @@ def predict_language(
     )
     kind = whole.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, lang_pred string, score double"
-    return whole.mapInArrow(_predictor(net), schema)
+    return map_texts(whole, _predictor(net), schema)
 
 
 def keep_known_languages(
@@ -336,7 +336,7 @@ def keep_known_languages(
                 sure = pc.greater_equal(found.column("score"), least)
                 yield batch.filter(pc.and_(known, sure))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return map_texts(docs, kept, docs.schema)
 
 
 def _predictor(net: Network | None, text: str = "text"):

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from curbside.llm.text import small_batches
+from curbside.llm.text import map_texts, small_batches
 
 ROUNDS = 10
 # Letters up to which a text is permuted as one number.
@@ -293,7 +293,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
             fresh = [names.replace(t)[0] for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(fresh, batch.column(at).type))
 
-    return docs.mapInArrow(replaced, docs.schema)
+    return map_texts(docs, replaced, docs.schema)
 
 
 def pseudonym_report(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,4 +315,4 @@ def pseudonym_report(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text:
             )
 
     kind = whole.schema["doc_id"].dataType.simpleString()
-    return whole.mapInArrow(replaced, f"doc_id {kind}, n_values long, kinds array<string>, text string")
+    return map_texts(whole, replaced, f"doc_id {kind}, n_values long, kinds array<string>, text string")

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from curbside.llm.components import components
-from curbside.llm.text import small_batches
+from curbside.llm.text import map_texts, small_batches
 from curbside.operators.joins import lookup_join
 from curbside.workspace import staged
 
@@ -149,7 +149,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n", "doc"],
             )
 
-    return docs.mapInArrow(signed, "doc_id long, n long, doc long")
+    return map_texts(docs, signed, "doc_id long, n long, doc long")
 
 
 def _heads(docs: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def _heads(docs: DataFrame) -> DataFrame:
                 names=["shingle", "doc", "others"],
             )
 
-    return docs.mapInArrow(headed, "shingle long, doc long, others array<long>")
+    return map_texts(docs, headed, "shingle long, doc long, others array<long>")
 
 
 def _segments(docs: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def _segments(docs: DataFrame) -> DataFrame:
                 names=["doc", "fragment", "shingles"],
             )
 
-    return docs.mapInArrow(cut, "doc long, fragment int, shingles array<long>")
+    return map_texts(docs, cut, "doc long, fragment int, shingles array<long>")
 
 
 def _postings(heads: DataFrame, sets: DataFrame) -> DataFrame:

@@ -12,15 +12,18 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
+import corpus_pipeline
 from curbside.llm import bpe_transducer as bpe
 from curbside.llm import language_gru as gru
 from curbside.llm import pii_feistel as pii
 from curbside.llm import token_trie as trie
-from curbside.llm.text import table
+from curbside.llm.text import ARROW_BYTES, BATCH_BYTES, map_texts, table
 from tests_llm_helpers import as_rows
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -364,3 +367,44 @@ def test_encoded_documents(make_docs, odd_rows):
     assert bpe.frequent_words(docs, share=1e-3) == ["and", "of", "the", "to"]
     assert "seven" in bpe.frequent_words(docs)
     assert bpe.frequent_words(docs.limit(0)) == []
+
+
+def _batch_bytes():
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["bytes"])
+
+    return held
+
+
+def test_texts_reach_python_in_bounded_batches(spark):
+    """Long texts of one task come by bytes, not 10,000 rows at a time."""
+    spark.conf.unset(ARROW_BYTES)
+    try:
+        docs = spark.range(0, 400, 1, 1).select("id", F.repeat(F.lit("long text "), 5_000).alias("text"))
+        held = [r["bytes"] for r in map_texts(docs, _batch_bytes(), "bytes long").collect()]
+        assert sum(held) > 400 * 50_000 and max(held) < 1.5 * BATCH_BYTES
+    finally:
+        spark.conf.unset(ARROW_BYTES)
+
+
+def test_a_session_keeps_its_own_batches(spark):
+    spark.conf.set(ARROW_BYTES, "1000000")
+    try:
+        map_texts(spark.range(1), _batch_bytes(), "bytes long")
+        assert spark.conf.get(ARROW_BYTES) == "1000000"
+    finally:
+        spark.conf.unset(ARROW_BYTES)
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_every_stage_over_texts_bounds_its_batches(spark, make_docs, stage):
+    """All stages of the pipeline but the mix, which runs no Python over texts."""
+    name, keep = corpus_pipeline.STAGES[stage]
+    docs = make_docs([(1, "one two three four five six", "en", "a"), (2, "seven", "de", "b")])
+    spark.conf.unset(ARROW_BYTES)
+    try:
+        keep(spark, docs, "")
+        assert (spark.conf.get(ARROW_BYTES, None) == str(BATCH_BYTES)) == (name != "mix")
+    finally:
+        spark.conf.unset(ARROW_BYTES)
